@@ -87,9 +87,9 @@ def top_tokens(df: DataFrame, column: str, n: int, weight: str | None = "n_weeks
     return counts.orderBy(F.desc("n"), F.asc("token")).limit(n)
 
 
-def kept_tokens(df: DataFrame, column: str, top: DataFrame, out: str) -> DataFrame:
+def keep_tokens(df: DataFrame, column: str, names: Sequence[str], out: str) -> DataFrame:
     """The sparse multi-hot row: the kept vocabulary items of the list, sorted, without repeats."""
-    vocabulary = top.agg(F.sort_array(F.collect_list("token"))).scalar()
+    vocabulary = F.array(*[F.lit(n) for n in sorted(names)]).cast("array<string>")
     return df.withColumn(out, F.array_intersect(vocabulary, split_list(column)))
 
 
@@ -99,11 +99,6 @@ def multihot_pairs(df: DataFrame, kept: str, prefix: str, id_col: str = "id") ->
     return ones.select(id_col, F.concat(F.lit(prefix), "_token").alias("feature"), F.lit(1).alias("value"))
 
 
-def multihot_columns(kept: str, names: Sequence[str], prefix: str) -> dict[str, Column]:
-    """One 0/1 column per vocabulary item, in alphabetical order."""
-    return {f"{prefix}{n}": F.array_contains(kept, n).cast("int") for n in sorted(names)}
-
-
 def names_of(top: DataFrame, column: str = "token") -> list[str]:
     """The names of a vocabulary that a limit already bounds."""
     return sorted(r[0] for r in top.select(column).collect())

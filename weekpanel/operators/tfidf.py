@@ -1,46 +1,63 @@
 """TF-IDF over documents that stay one row each.
 
-Term counts are built inside the row (sort, then run lengths), so the only shuffle is the partially
-aggregated term count. The vocabulary is at most ``max_features`` terms and travels as one map value.
+Fitting takes one shuffle, the partially aggregated term counts; what reaches the driver is the
+vocabulary, at most ``max_features`` terms. Scoring is row by row: count, weigh, scale to length 1.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weekpanel.functions.text import tokens
 
 TERM_COUNTS = "array<struct<term:string,tf:int>>"
+SCORES = "keywords_tfidf"
+
+
+@dataclass(frozen=True)
+class Terms:
+    """A fitted vocabulary in alphabetical order, with its counts and weights."""
+
+    names: tuple[str, ...]
+    n: tuple[int, ...]
+    df: tuple[int, ...]
+    idf: tuple[float, ...]
+
+    def frame(self, spark: SparkSession) -> DataFrame:
+        rows = list(zip(self.names, range(len(self.names)), self.n, self.df, self.idf, strict=True))
+        return spark.createDataFrame(rows, "term string, idx int, n bigint, df bigint, idf double")
 
 
 def term_counts(df: DataFrame, text: str, out: str = "terms") -> DataFrame:
-    """Add the (term, tf) pairs of a text column, terms in order."""
+    """Add the (term, tf) pairs of a text column: sort the words, then measure the runs."""
+    words = F.col("_sorted")
     last = F.size("_sorted") - 1
-    counted = (
+    run_ends = F.filter(
+        F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
+        lambda i: (i == last) | (F.get(words, i) != F.get(words, i + 1)),
+    )
+    none = F.array().cast("array<int>")
+    pairs = F.transform(
+        "_ends",
+        lambda end, j: F.struct(
+            F.get(words, end).alias("term"),
+            (end - F.coalesce(F.get(F.col("_ends"), j - 1), F.lit(-1))).alias("tf"),
+        ),
+    )
+    return (
         df.withColumn("_sorted", F.sort_array(tokens(text)))
-        .withColumn(
-            "_ends",
-            F.when(F.size("_sorted") == 0, F.array().cast("array<int>")).otherwise(
-                F.filter(
-                    F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
-                    lambda i: (i == last)
-                    | (F.get(F.col("_sorted"), i) != F.get(F.col("_sorted"), i + 1)),
-                )
-            ),
-        )
-        .withColumn(
-            out,
-            F.transform(
-                "_ends",
-                lambda end, j: F.struct(
-                    F.get(F.col("_sorted"), end).alias("term"),
-                    (end - F.coalesce(F.get(F.col("_ends"), j - 1), F.lit(-1))).alias("tf"),
-                ),
-            ).cast(TERM_COUNTS),
-        )
+        .withColumn("_ends", F.when(last < 0, none).otherwise(run_ends))
+        .withColumn(out, pairs.cast(TERM_COUNTS))
+        .drop("_sorted", "_ends")
     )
-    return counted.drop("_sorted", "_ends")
 
 
 def corpus_counts(docs: DataFrame, weight: str | None = None, terms: str = "terms") -> DataFrame:
@@ -53,72 +70,62 @@ def corpus_counts(docs: DataFrame, weight: str | None = None, terms: str = "term
     )
 
 
-def vocabulary(counts: DataFrame, max_features: int) -> DataFrame:
-    """The most frequent terms, numbered in alphabetical order."""
-    top = counts.orderBy(F.desc("n"), F.asc("term")).limit(max_features)
-    number = (F.row_number().over(Window.orderBy("term")) - 1).alias("idx")
-    return top.select("term", number)
-
+def top_terms(counts: DataFrame, max_features: int) -> DataFrame:
+    """The most frequent terms."""
+    return counts.orderBy(F.desc("n"), F.asc("term")).limit(max_features)
 
-def idf(counts: DataFrame, vocab: DataFrame, docs: DataFrame, weight: str | None = None) -> DataFrame:
-    """Smoothed inverse document frequency of the vocabulary; an unseen term has df 0."""
-    w = F.col(weight) if weight else F.lit(1)
-    n_docs = docs.agg(F.sum(w.cast("double"))).scalar()
-    df = F.coalesce("df", F.lit(0))
-    # The vocabulary is bounded by its limit, so it is the broadcast side of a join that keeps all of it.
-    seen = counts.join(F.broadcast(vocab), "term", "left_semi")
-    return (
-        vocab.join(seen.select("term", "n", "df"), "term", "left")
-        .withColumn("_docs", n_docs)
-        .select("term", "idx", F.coalesce("n", F.lit(0)).alias("n"), df.alias("df"),
-                (F.log((1 + F.col("_docs")) / (1 + df)) + 1).alias("idf"))
-    )
 
+def fit(
+    df: DataFrame, text: str, max_features: int, weight: str | None = None, vocabulary: Sequence[str] | None = None
+) -> Terms:
+    """Vocabulary and smoothed inverse document frequencies of a corpus.
 
-def score(docs: DataFrame, idf_table: DataFrame, terms: str = "terms", out: str = "keywords_tfidf") -> DataFrame:
-    """Raw tf times idf, each row scaled to length 1; terms outside the vocabulary are dropped."""
-    weights = idf_table.agg(F.map_from_entries(F.collect_list(F.struct("term", "idf")))).scalar()
-    raw = docs.withColumn("_idf", weights).withColumn(
-        "_raw",
-        F.filter(
-            F.transform(
-                terms,
-                lambda t: F.struct(
-                    t["term"].alias("term"), (t["tf"] * F.col("_idf")[t["term"]]).alias("score")
-                ),
-            ),
-            lambda t: t["score"].isNotNull(),
-        ),
-    )
-    squares = F.aggregate("_raw", F.lit(0.0), lambda acc, t: acc + t["score"] * t["score"])
-    return (
-        raw.withColumn("_norm", F.sqrt(squares))
-        .withColumn(
-            out,
-            F.transform(
-                "_raw",
-                lambda t: F.struct(t["term"].alias("term"), (t["score"] / F.col("_norm")).alias("score")),
-            ),
-        )
-        .drop("_idf", "_raw", "_norm")
-    )
+    With ``vocabulary`` the terms are fixed and only their frequencies are fitted; an unseen term has df 0.
+    """
+    spark = df.sparkSession
+    needed = df.select(F.col(text).alias("_text"), *([weight] if weight else []))
+    counts = corpus_counts(term_counts(needed, "_text"), weight)
+    if vocabulary is None:
+        found = top_terms(counts, max_features).collect()
+    else:
+        wanted = spark.createDataFrame([(t,) for t in vocabulary], "term string")
+        found = counts.join(F.broadcast(wanted), "term", "left_semi").collect()
+    by_term = {r["term"]: (r["n"], r["df"]) for r in found}
+    names = tuple(sorted(by_term if vocabulary is None else set(vocabulary)))
+    n_docs = df.agg(F.sum(F.col(weight) if weight else F.lit(1))).first()[0] or 0
+    n, doc_counts = zip(*[by_term.get(t, (0, 0)) for t in names], strict=True) if names else ((), ())
+    idf = tuple(math.log((1 + n_docs) / (1 + d)) + 1 for d in doc_counts)
+    return Terms(names, n, doc_counts, idf)
+
+
+def score(df: DataFrame, text: str, fitted: Terms, out: str = SCORES) -> DataFrame:
+    """Add the sparse vector of raw tf times idf, scaled to length 1; other words are dropped."""
+    if not fitted.names:
+        return df.withColumn(out, F.lit(None).cast(VectorUDT()))
+    steps = [
+        CountVectorizerModel.from_vocabulary(list(fitted.names), "_words", "_tf"),
+        ElementwiseProduct(scalingVec=Vectors.dense(fitted.idf), inputCol="_tf", outputCol="_raw"),
+        Normalizer(p=2.0, inputCol="_raw", outputCol=out),
+    ]
+    scored = df.withColumn("_words", tokens(text))
+    for step in steps:
+        scored = step.transform(scored)
+    return scored.drop("_words", "_tf", "_raw")
 
 
 def tfidf(
-    df: DataFrame, text: str, max_features: int, weight: str | None = None, vocab: DataFrame | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """Scored documents and the (term, idx, n, df, idf) table, fitted on this corpus.
-
-    With ``vocab`` the terms are fixed and only the document frequencies are fitted again.
-    """
-    docs = term_counts(df, text)
-    counts = corpus_counts(docs, weight)
-    chosen = vocabulary(counts, max_features) if vocab is None else vocab
-    table = idf(counts, chosen, docs, weight)
-    return score(docs, table).drop("terms"), table
+    df: DataFrame, text: str, max_features: int, weight: str | None = None, vocabulary: Sequence[str] | None = None
+) -> tuple[DataFrame, Terms]:
+    """Scored documents and what was fitted on them."""
+    fitted = fit(df, text, max_features, weight, vocabulary)
+    return score(df, text, fitted), fitted
 
 
-def scores_long(scored: DataFrame, id_col: str = "id", column: str = "keywords_tfidf") -> DataFrame:
+def scores_long(scored: DataFrame, fitted: Terms, id_col: str = "id", column: str = SCORES) -> DataFrame:
     """(id, term, score) rows of the sparse matrix."""
-    pairs = scored.select(id_col, F.explode_outer(column).alias("_t")).where(F.col("_t").isNotNull())
-    return pairs.select(id_col, "_t.term", "_t.score")
+    if not fitted.names:
+        return scored.select(id_col, F.lit("").alias("term"), F.lit(0.0).alias("score")).limit(0)
+    values = scored.select(id_col, vector_to_array(column).alias("_v"))
+    cells = values.select(id_col, F.posexplode_outer("_v").alias("_i", "score")).where(F.col("score") > 0)
+    names = F.array(*[F.lit(t) for t in fitted.names])
+    return cells.select(id_col, F.get(names, F.col("_i")).alias("term"), "score")

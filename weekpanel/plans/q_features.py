@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from weekpanel.functions.text import tokens
@@ -9,8 +10,9 @@ from weekpanel.operators import encoding as E
 from weekpanel.operators import features as X
 from weekpanel.operators import insights as K
 from weekpanel.operators import tfidf as T
+from weekpanel.operators.assemble import GENRES, NETWORKS
 from weekpanel.plans import inputs as I
-from weekpanel.plans.refresh import GENRES, NETWORKS, clean_entities, clean_panel
+from weekpanel.plans.refresh import clean_entities, clean_panel
 from weekpanel.plans.registry import query
 from weekpanel.plans.sql import WORD, with_ctes
 from weekpanel.session import scratch_path
@@ -67,8 +69,8 @@ def top_networks(spark, sf):
 
 def _multihot(spark, sf, column, n, prefix):
     entities = I.entities(spark, sf)
-    top = X.top_tokens(entities, column, n)
-    return X.multihot_pairs(X.kept_tokens(entities, column, top, "kept"), "kept", prefix)
+    names = X.names_of(X.top_tokens(entities, column, n))
+    return X.multihot_pairs(X.keep_tokens(entities, column, names, "kept"), "kept", prefix)
 
 
 def _multihot_sql(column: str, prefix: str) -> str:
@@ -108,14 +110,14 @@ def tfidf_tokens(spark, sf):
     ),
 )
 def tfidf_idf(spark, sf):
-    _, table = T.tfidf(I.entities(spark, sf), "keywords", I.N_TERMS, "n_weeks")
-    return I.rounded(table, "idf")
+    fitted = T.fit(I.entities(spark, sf), "keywords", I.N_TERMS, "n_weeks")
+    return I.rounded(fitted.frame(spark), "idf")
 
 
 @query("tfidf_scores", with_ctes("kw_scores", "select id, term, round(score, 6) as score from kw_scores"))
 def tfidf_scores(spark, sf):
-    scored, _ = T.tfidf(I.entities(spark, sf), "keywords", I.N_TERMS, "n_weeks")
-    return I.rounded(T.scores_long(scored), "score")
+    scored, fitted = T.tfidf(I.entities(spark, sf), "keywords", I.N_TERMS, "n_weeks")
+    return I.rounded(T.scores_long(scored, fitted), "score")
 
 
 @query(
@@ -136,12 +138,12 @@ from vocab v left join kw_counts c on c.term = v.term""",
 )
 def tfidf_fixed_vocab(spark, sf):
     text = F.concat("keywords", F.lit(" "), "original_name")
-    other = T.term_counts(I.catalog(spark, sf).select("id", text.alias("text")), "text")
+    first = T.fit(I.catalog(spark, sf).select(text.alias("text")), "text", 30)
     path = scratch_path(spark, "vocabulary")
-    ST.write_vocabulary(T.vocabulary(T.corpus_counts(other), 30), path)
+    ST.write_vocabulary(first.frame(spark), path)
     fixed = ST.read_vocabulary(spark, path)
-    _, table = T.tfidf(I.entities(spark, sf), "keywords", I.N_TERMS, "n_weeks", vocab=fixed)
-    return I.rounded(table, "idf")
+    again = T.fit(I.entities(spark, sf), "keywords", I.N_TERMS, "n_weeks", fixed)
+    return I.rounded(again.frame(spark), "idf")
 
 
 @query(
@@ -156,8 +158,8 @@ select doc_id, term, round(raw / sqrt(sum(raw * raw) over (partition by doc_id))
 )
 def tfidf_documents(spark, sf):
     docs = I.table(spark, sf, "documents").select("doc_id", "text")
-    scored, _ = T.tfidf(docs, "text", X.TOP_TERMS)
-    return I.rounded(T.scores_long(scored, "doc_id"), "score")
+    scored, fitted = T.tfidf(docs, "text", X.TOP_TERMS)
+    return I.rounded(T.scores_long(scored, fitted, "doc_id"), "score")
 
 
 _LIFT = """, totals as (select sum(n) as n, sum(known) as known, sum(total) as total from sums),
@@ -183,8 +185,8 @@ _LIFT_NUMBERS = (
 
 
 def _panel_insights(spark, sf):
-    scored, _ = T.tfidf(I.entities(spark, sf), "keywords", I.N_TERMS, "n_weeks")
-    present = T.scores_long(scored).where(F.col("score") > 0).select("id", "term")
+    scored, fitted = T.tfidf(I.entities(spark, sf), "keywords", I.N_TERMS, "n_weeks")
+    present = T.scores_long(scored, fitted).select("id", "term")
     return K.keyword_insights(K.entity_sums(I.trends(spark, sf)), present)
 
 
@@ -224,8 +226,8 @@ kw as (select t.doc_id as id, t.term from doc_tf t join doc_vocab v on v.term =
 @query("keyword_lift_documents", with_ctes("doc_tf doc_vocab", _DOC_SUMS + _LIFT + _LIFT_COLUMNS))
 def keyword_lift_documents(spark, sf):
     docs = I.table(spark, sf, "documents").select("doc_id", "text")
-    scored, _ = T.tfidf(docs, "text", X.TOP_TERMS)
-    present = T.scores_long(scored, "doc_id").where(F.col("score") > 0).select("doc_id", "term")
+    scored, fitted = T.tfidf(docs, "text", X.TOP_TERMS)
+    present = T.scores_long(scored, fitted, "doc_id").select("doc_id", "term")
     sums = K.entity_sums(I.table(spark, sf, "labels"), "doc_id", "quality")
     found = K.keyword_insights(sums.withColumn("total", F.col("total").cast("double")), present, "doc_id")
     return I.rounded(K.keyword_lift(found), *_LIFT_NUMBERS)
@@ -341,12 +343,15 @@ left join kept_terms kt on kt.id = f.id""",
 )
 def panel_clean_narrow(spark, sf):
     panel = I.panel(spark, sf)
-    entities, *_ = clean_entities(
+    entities, _, fitted = clean_entities(
         I.trends(spark, sf), I.catalog(spark, sf),
         n_genres=I.N_GENRES, n_networks=I.N_NETWORKS, n_terms=I.N_TERMS,
     )
     clean = clean_panel(panel, entities)
-    terms = F.array_join(F.transform("keywords_tfidf", lambda t: t["term"]), ",")
+    names = F.array(*[F.lit(t) for t in fitted.names])
+    pairs = F.arrays_zip(names.alias("term"), vector_to_array(T.SCORES).alias("score"))
+    present = F.filter(pairs, lambda p: p["score"] > 0)
+    terms = F.array_join(F.transform(present, lambda p: p["term"]), ",")
     return clean.select(
         "id",
         "week_start",

@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from weekpanel.functions.casts import clean_nonfinite
 from weekpanel.functions.dates import utc_iso
@@ -15,23 +13,13 @@ from weekpanel.operators import features as X
 from weekpanel.operators import metrics as MH
 from weekpanel.operators import model as M
 from weekpanel.operators import tfidf as T
-from weekpanel.operators.encoding import CATEGORY_COLUMNS, feature_columns
+from weekpanel.operators.assemble import GENRES, NETWORKS, PREFIXES, Features, describe, with_vector
+from weekpanel.operators.encoding import category_codes
 from weekpanel.operators.panel import HORIZONS, add_targets, build_panel, prepare_catalog
 from weekpanel.operators.split import snapshot, time_split
 from weekpanel.session import cut_lineage
 from weekpanel.sources import publish as PB
-from weekpanel.sources.tables import read_parquet, write_parquet
-
-GENRES, NETWORKS, TERMS = "genres_kept", "networks_kept", "keywords_tfidf"
-
-
-@dataclass(frozen=True)
-class Vocabularies:
-    """The names behind the wide columns; each list is bounded by its limit."""
-
-    genres: Sequence[str]
-    networks: Sequence[str]
-    terms: Sequence[str]
+from weekpanel.sources.tables import read_parquet, write_parquet, write_vocabulary
 
 
 def clean_entities(
@@ -41,19 +29,20 @@ def clean_entities(
     n_genres: int = X.TOP_GENRES,
     n_networks: int = X.TOP_NETWORKS,
     n_terms: int = X.TOP_TERMS,
-    vocab: DataFrame | None = None,
-) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Entity features, the kept genres, the kept networks and the fitted term table.
+    vocabulary: Sequence[str] | None = None,
+) -> tuple[DataFrame, dict[str, list[str]], T.Terms]:
+    """Entity features, the kept genres and networks, and the fitted terms.
 
-    The weighted entity table feeds several aggregates and is written out once.
+    The weighted entity table feeds several aggregates and is written out once. The joins of the
+    imputation come last, so that no other step repeats them.
     """
     entities = cut_lineage(X.weighted_entities(panel, prepare_catalog(catalog)))
-    genres = X.top_tokens(entities, "genres", n_genres)
-    networks = X.top_tokens(entities, "networks", n_networks)
-    scored, terms = T.tfidf(entities, "keywords", n_terms, "n_weeks", vocab)
-    listed = X.kept_tokens(X.kept_tokens(scored, "genres", genres, GENRES), "networks", networks, NETWORKS)
-    # The joins of the imputation come last, so that no other step repeats them.
-    return X.impute_group_median(X.impute_mode(listed)), genres, networks, terms
+    listed, kept = entities, {}
+    for column, n, out in (("genres", n_genres, GENRES), ("networks", n_networks, NETWORKS)):
+        kept[out] = X.names_of(X.top_tokens(entities, column, n))
+        listed = X.keep_tokens(listed, column, kept[out], out)
+    scored, fitted = T.tfidf(listed, "keywords", n_terms, "n_weeks", vocabulary)
+    return X.impute_group_median(X.impute_mode(scored)), kept, fitted
 
 
 def clean_panel(panel: DataFrame, entities: DataFrame) -> DataFrame:
@@ -62,45 +51,27 @@ def clean_panel(panel: DataFrame, entities: DataFrame) -> DataFrame:
     return X.freshness(panel.select(*own).join(entities.drop("n_weeks"), "id"))
 
 
-def widen(clean: DataFrame, vocabularies: Vocabularies) -> DataFrame:
-    """One column per kept genre, network and term instead of the narrow lists."""
-    scores = F.map_from_entries(TERMS)
-    wide = {
-        **X.multihot_columns(GENRES, vocabularies.genres, "genre__"),
-        **X.multihot_columns(NETWORKS, vocabularies.networks, "net__"),
-        **{
-            f"kw__{t}": F.coalesce(F.try_element_at(scores, F.lit(t)), F.lit(0.0))
-            for t in sorted(vocabularies.terms)
-        },
-    }
-    stale = [c for c in clean.columns if c.startswith("kw__")]
-    narrow = [c for c in clean.columns if c not in (GENRES, NETWORKS, TERMS, *stale)]
-    return clean.select(*[F.col(f"`{c}`") for c in narrow], *[c.alias(n) for n, c in wide.items()])
-
-
-def training_frame(
-    clean: DataFrame, vocabularies: Vocabularies, horizons: Sequence[int] = HORIZONS
-) -> tuple[DataFrame, list[str]]:
-    """Wide panel with targets, and the ordered feature contract. Category columns become features as codes."""
-    # Targets first: their window then moves narrow rows.
-    wide = widen(add_targets(clean, horizons), vocabularies)
-    contract = feature_contract(wide)
-    return wide, contract
-
-
-def feature_contract(wide: DataFrame) -> list[str]:
-    """Features in table order; the category columns count, as they are turned into codes."""
-    numeric = set(feature_columns(wide))
-    return [c for c in wide.columns if c in numeric or c in CATEGORY_COLUMNS]
-
-
 def fitted_frame(
-    wide: DataFrame, contract: Sequence[str], horizons: Sequence[int] = HORIZONS, *, purge: int = 0
+    clean: DataFrame,
+    spec: Features,
+    horizons: Sequence[int] = HORIZONS,
+    codes: DataFrame | None = None,
+    *,
+    purge: int = 0,
 ) -> DataFrame:
     """Feature vectors with split and targets, ready for all horizons."""
     targets = [f"interest_t+{h}" for h in horizons]
-    split = time_split(wide, purge=purge)
-    return M.with_vector(split, contract, ["id", "week_start", "split", "cutoff_week", *targets])
+    split = time_split(add_targets(clean, horizons), purge=purge)
+    return with_vector(split, spec, ["id", "week_start", "split", "cutoff_week", *targets], codes)
+
+
+def frame_shape(clean: DataFrame, spec: Features, horizons: Sequence[int]) -> dict:
+    """The snapshot kept with the metrics; columns are counted in wide form with the targets."""
+    names = spec.names()
+    shape = snapshot(clean, len(names)).first().asDict()
+    narrow = [c for c in clean.columns if c not in PREFIXES]
+    shape["n_cols"] = len(narrow) + len(names) - len(spec.scalars) + len(horizons)
+    return shape
 
 
 def refresh(
@@ -114,7 +85,7 @@ def refresh(
     horizons: Sequence[int] = HORIZONS,
     settings: Mapping[str, Mapping[str, object]] | None = None,
     sizes: Mapping[str, int] | None = None,
-    vocab: DataFrame | None = None,
+    vocabulary: Sequence[str] | None = None,
     purge: int = 0,
     collapse: bool = True,
 ) -> dict:
@@ -125,16 +96,17 @@ def refresh(
     stage = f"{root}/stages/run_id={run['run_id']}/week_start={run['week_start']}"
     write_parquet(build_panel(trends, catalog, collapse=collapse), f"{stage}/panel")
     panel = read_parquet(spark, f"{stage}/panel")
-    entities, genres, networks, terms = clean_entities(panel, catalog, vocab=vocab, **(sizes or {}))
+    entities, kept, fitted = clean_entities(panel, catalog, vocabulary=vocabulary, **(sizes or {}))
     write_parquet(clean_nonfinite(clean_panel(panel, entities)), f"{stage}/panel_clean")
+    write_vocabulary(fitted.frame(spark), f"{stage}/tfidf_vocab")
     clean = read_parquet(spark, f"{stage}/panel_clean")
-    names = Vocabularies(X.names_of(genres), X.names_of(networks), X.names_of(terms, "term"))
-    out = {"panel": panel, "panel_clean": clean, "vocabularies": names, "terms": terms.select("term", "idx")}
+    spec = describe(clean, kept[GENRES], kept[NETWORKS], fitted.names)
+    out = {"panel": panel, "panel_clean": clean, "features": spec, "terms": fitted}
     if not retrain:
         return out
 
-    wide, contract = training_frame(clean, names, horizons)
-    frame = fitted_frame(wide, contract, horizons, purge=purge).persist(StorageLevel.MEMORY_AND_DISK)
+    codes = category_codes(clean)
+    frame = fitted_frame(clean, spec, horizons, codes, purge=purge).persist(StorageLevel.MEMORY_AND_DISK)
     records, folders = [], {}
     for family in M.FAMILIES:
         models, found = M.train_family(frame, family, horizons, (settings or {}).get(family))
@@ -143,17 +115,15 @@ def refresh(
         folders[f"{family}_dir"] = folder
         records += found
     frame.unpersist()
-    shape = snapshot(wide, len(contract)).first().asDict()
-    shape["n_cols"] = len(wide.columns)
-    new = MH.with_run(M.records_frame(spark, records), {**run, **shape}).withColumn("created_utc", utc_iso())
+    context = {**run, **frame_shape(clean, spec, horizons)}
+    new = MH.with_run(M.records_frame(spark, records), context).withColumn("created_utc", utc_iso())
 
-    wide_panel = widen(clean, names)
     for folder in folders.values():
-        M.require_valid(M.validate(wide_panel, contract, folder=folder))
+        M.require_valid(M.validate(clean, spec, codes=codes, folder=folder))
     seen = PB.current_generation(spark, root)
     history = PB.resolve(spark, root)["metrics_history"] if seen else None
     merged = MH.append_dedupe(history, new)
     generation = PB.publish(
-        wide_panel, contract, root, run, folders, metrics=merged, expected_generation=seen
+        clean, spec.names(), root, run, folders, metrics=merged, expected_generation=seen
     )
-    return {**out, "contract": contract, "records": records, "generation": generation, "folders": folders}
+    return {**out, "codes": codes, "records": records, "generation": generation, "folders": folders}

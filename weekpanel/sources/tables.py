@@ -62,5 +62,6 @@ def write_vocabulary(vocab: DataFrame, path: str) -> None:
     vocab.select("term", "idx").coalesce(1).write.mode("overwrite").json(path)
 
 
-def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(VOCABULARY).json(path)
+def read_vocabulary(spark: SparkSession, path: str) -> list[str]:
+    """The terms in their stored order."""
+    return [r["term"] for r in spark.read.schema(VOCABULARY).json(path).orderBy("idx").collect()]
