@@ -14,8 +14,11 @@ _BUCKET = "cache_bucket"
 
 
 def write_entity_cache(df: DataFrame, path: str, id_col: str = "id") -> None:
-    """One CSV folder per entity; for sources of few, long series."""
-    df.write.mode("append").option("header", True).partitionBy(id_col).csv(path)
+    """One CSV file per entity, in a folder of its own; for sources of few, long series.
+
+    A series has one row per week, so no entity is too long for one task.
+    """
+    df.repartition(id_col).write.mode("append").option("header", True).partitionBy(id_col).csv(path)
 
 
 def read_entity_cache(spark: SparkSession, path: str, schema: str = CACHE_ROW, id_col: str = "id") -> DataFrame:
@@ -35,7 +38,7 @@ def read_cache_files(spark: SparkSession, path: str, schema: str = CACHE_ROW, id
 def write_bucketed_cache(df: DataFrame, path: str, buckets: int, id_col: str = "id") -> None:
     """The cache for many entities: a fixed number of folders, entities spread by hash."""
     bucket = F.pmod(F.hash(id_col), F.lit(buckets))
-    marked = df.withColumn(_BUCKET, bucket)
+    marked = df.withColumn(_BUCKET, bucket).repartition(buckets, _BUCKET)
     marked.write.mode("append").option("header", True).partitionBy(_BUCKET).csv(path)
 
 
@@ -45,13 +48,13 @@ def read_bucketed_cache(spark: SparkSession, path: str, schema: str) -> DataFram
 
 
 def not_landed(wanted: DataFrame, landed: DataFrame, id_col: str = "id") -> DataFrame:
-    """Entities still to load."""
-    return wanted.join(landed.select(id_col), id_col, "left_anti")
+    """Entities still to load. Repeated ids collapse map-side before the join."""
+    return wanted.join(landed.select(id_col).distinct(), id_col, "left_anti")
 
 
 def landed(wanted: DataFrame, done: DataFrame, id_col: str = "id") -> DataFrame:
     """Entities that a cache already serves."""
-    return wanted.join(done.select(id_col), id_col, "left_semi")
+    return wanted.join(done.select(id_col).distinct(), id_col, "left_semi")
 
 
 def load_budget(wanted: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
