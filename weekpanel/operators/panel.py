@@ -19,7 +19,7 @@ from weekpanel.operators.dedupe import keep_first
 LAGS = (1, 2, 4, 8)
 HORIZONS = (1, 2, 3, 4)
 MEAN_ROWS, STD_ROWS, QUANTILE_ROWS = 4, 4, 8
-STD_MIN_ROWS, QUANTILE_MIN_ROWS = 2, 3
+QUANTILE_MIN_ROWS = 3
 BREAKOUT_QUANTILE = 0.8
 TEXT_COLUMNS = ("genres", "networks", "keywords")
 
@@ -75,46 +75,65 @@ def lag_features(value: str = "interest", id_col: str = "id", time_col: str = "w
     return {f"lag_{value}_{k}w": F.lag(value, k).over(w) for k in LAGS}
 
 
-def delta_feature(value: str = "interest", id_col: str = "id", time_col: str = "week_start") -> dict[str, Column]:
-    w = series_window(id_col, time_col)
-    return {f"delta_{value}_1w": F.col(value) - F.lag(value, 1).over(w)}
-
-
 def roll_mean(value: str = "interest", id_col: str = "id", time_col: str = "week_start") -> Column:
     return F.avg(value).over(series_window(id_col, time_col).rowsBetween(1 - MEAN_ROWS, 0))
 
 
 def roll_std(value: str = "interest", id_col: str = "id", time_col: str = "week_start") -> Column:
-    w = series_window(id_col, time_col).rowsBetween(1 - STD_ROWS, 0)
-    return F.when(F.count(value).over(w) >= STD_MIN_ROWS, F.stddev_samp(value).over(w))
+    """Sample deviation; NULL with fewer than two known values."""
+    return F.stddev_samp(value).over(series_window(id_col, time_col).rowsBetween(1 - STD_ROWS, 0))
 
 
-def roll_quantile(value: str = "interest", id_col: str = "id", time_col: str = "week_start") -> Column:
-    w = series_window(id_col, time_col).rowsBetween(1 - QUANTILE_ROWS, 0)
-    exact = F.percentile(value, BREAKOUT_QUANTILE).over(w)
-    return F.when(F.count(value).over(w) >= QUANTILE_MIN_ROWS, exact)
+def recent_values(value: str = "interest", id_col: str = "id", time_col: str = "week_start") -> Column:
+    """The known values of the last eight rows."""
+    return F.collect_list(value).over(series_window(id_col, time_col).rowsBetween(1 - QUANTILE_ROWS, 0))
 
 
-def breakout_label(value: str = "interest", id_col: str = "id", time_col: str = "week_start") -> Column:
-    """1 if the next row beats the rolling percentile; a missing operand gives 0."""
-    coming = F.lead(value, 1).over(series_window(id_col, time_col))
-    return F.coalesce(coming > roll_quantile(value, id_col, time_col), F.lit(False)).cast("int")
+def quantile_of(values: Column, q: float = BREAKOUT_QUANTILE, min_rows: int = QUANTILE_MIN_ROWS) -> Column:
+    """Percentile of a short sorted list with linear interpolation; equal neighbours give exactly their value."""
+    position = (F.size(values) - 1) * F.lit(q)
+    below = F.floor(position).cast("int")
+    low, high = F.get(values, below), F.get(values, F.ceil(position).cast("int"))
+    return F.when(F.size(values) >= min_rows, low + (high - low) * (position - below))
+
+
+def add_roll_quantile(
+    df: DataFrame,
+    out: str = "roll_q80_8w",
+    value: str = "interest",
+    id_col: str = "id",
+    time_col: str = "week_start",
+) -> DataFrame:
+    """Rolling percentile of the last eight rows."""
+    values = df.withColumn("_recent", F.sort_array(recent_values(value, id_col, time_col)))
+    return values.withColumn(out, quantile_of(F.col("_recent"))).drop("_recent")
 
 
 def add_time_features(
     df: DataFrame, value: str = "interest", id_col: str = "id", time_col: str = "week_start"
 ) -> DataFrame:
-    """Lags, difference, rolling mean and deviation, and the breakout label, from one shuffle and sort."""
+    """Lags, difference, rolling mean and deviation, and the breakout label, from one shuffle and sort.
+
+    The label is 1 if the next row beats the rolling percentile; a missing operand gives 0.
+    """
     names = (value, id_col, time_col)
-    return df.withColumns(
+    lags = lag_features(*names)
+    windowed = df.withColumns(
         {
-            **lag_features(*names),
-            **delta_feature(*names),
+            **lags,
             "roll_mean_4w": roll_mean(*names),
             "roll_std_4w": roll_std(*names),
-            "label": breakout_label(*names),
+            "_next": F.lead(value, 1).over(series_window(id_col, time_col)),
+        }
+    )
+    beaten = F.coalesce(F.col("_next") > F.col("_quantile"), F.lit(False))
+    featured = add_roll_quantile(windowed, "_quantile", *names).withColumns(
+        {
+            f"delta_{value}_1w": F.col(value) - F.col(f"lag_{value}_1w"),
+            "label": beaten.cast("int"),
         }
     )
+    return featured.select(*df.columns, *lags, f"delta_{value}_1w", "roll_mean_4w", "roll_std_4w", "label")
 
 
 def add_targets(

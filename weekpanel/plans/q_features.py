@@ -9,6 +9,7 @@ from weekpanel.functions.text import tokens
 from weekpanel.operators import encoding as E
 from weekpanel.operators import features as X
 from weekpanel.operators import insights as K
+from weekpanel.operators import panel as P
 from weekpanel.operators import tfidf as T
 from weekpanel.operators.assemble import GENRES, NETWORKS
 from weekpanel.plans import inputs as I
@@ -342,12 +343,13 @@ left join kept_terms kt on kt.id = f.id""",
     ),
 )
 def panel_clean_narrow(spark, sf):
-    panel = I.panel(spark, sf)
+    # Same rows as the panel, which the entity join would give its metadata a second time.
+    series = P.add_time_features(P.clean_trends(I.trends(spark, sf)))
     entities, _, fitted = clean_entities(
         I.trends(spark, sf), I.catalog(spark, sf),
         n_genres=I.N_GENRES, n_networks=I.N_NETWORKS, n_terms=I.N_TERMS,
     )
-    clean = clean_panel(panel, entities)
+    clean = clean_panel(series, entities)
     names = F.array(*[F.lit(t) for t in fitted.names])
     pairs = F.arrays_zip(names.alias("term"), vector_to_array(T.SCORES).alias("score"))
     present = F.filter(pairs, lambda p: p["score"] > 0)

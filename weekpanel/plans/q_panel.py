@@ -48,7 +48,7 @@ def win_lags(spark, sf):
 
 @query("win_delta", with_ctes("feat", "select id, week_start, delta_interest_1w from feat"))
 def win_delta(spark, sf):
-    return I.trends(spark, sf).withColumns(P.delta_feature()).select("id", "week_start", "delta_interest_1w")
+    return P.add_time_features(I.trends(spark, sf)).select("id", "week_start", "delta_interest_1w")
 
 
 @query(
@@ -65,7 +65,8 @@ def win_roll_std(spark, sf):
 
 @query("win_roll_q80", with_ctes("feat", "select id, week_start, round(roll_q80_8w, 6) as roll_q80_8w from feat"))
 def win_roll_q80(spark, sf):
-    return I.trends(spark, sf).select("id", "week_start", F.round(P.roll_quantile(), 6).alias("roll_q80_8w"))
+    rows = P.add_roll_quantile(I.trends(spark, sf))
+    return rows.select("id", "week_start", F.round("roll_q80_8w", 6).alias("roll_q80_8w"))
 
 
 @query(
@@ -75,7 +76,7 @@ def win_roll_q80(spark, sf):
     ),
 )
 def win_label(spark, sf):
-    return I.trends(spark, sf).select("id", "week_start", P.breakout_label().alias("label"))
+    return P.add_time_features(I.trends(spark, sf)).select("id", "week_start", "label")
 
 
 @query(

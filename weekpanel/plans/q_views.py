@@ -14,6 +14,7 @@ from weekpanel.operators.encoding import contract_projection, feature_columns
 from weekpanel.plans import inputs as I
 from weekpanel.plans.registry import query
 from weekpanel.plans.sql import with_ctes
+from weekpanel.session import cut_lineage
 
 _MOVER = """id, name, last_interest, round("predicted_t+1", 6) as "predicted_t+1", popularity, vote_average,
 round("delta_t+1", 6) as "delta_t+1\""""
@@ -146,8 +147,11 @@ from movers m left join top_catalog t on t.id = m.id""",
     ),
 )
 def overview_ranked(spark, sf):
-    top = L.catalog_top(I.latest(spark, sf))
-    return I.rounded(MV.overview_ranked(I.movers(spark, sf), top), *_MOVER_NUMBERS)
+    # The latest rows feed the top catalog, the range bounds and the ranking.
+    columns = ("id", "name", "interest", "roll_mean_4w", "popularity", "vote_average")
+    latest = cut_lineage(I.latest(spark, sf).select(*columns))
+    base = MV.movers_base(latest, "roll_mean_4w")
+    return I.rounded(MV.overview_ranked(base, L.catalog_top(latest)), *_MOVER_NUMBERS)
 
 
 @query(
