@@ -235,3 +235,13 @@ def test_nice_bins():
     assert K.nice_width(0, 100) == 5.0
     assert K.nice_width(0, 1) == 0.05
     assert K.nice_width(3, 3) > 0
+
+
+def test_display(spark):
+    from weekpanel.operators import display as DS
+
+    df = spark.createDataFrame(
+        [("a", 0.25, -0.25, None, 1)], "name string, last_interest double, `predicted_t+1` double, `delta_t+1` double, id int"
+    )
+    assert tuple(DS.formatted(df, DS.MOVERS).first()) == ("a", "0.2", "-0.2", "—")
+    assert DS.renamed(df, DS.MOVERS).columns == ["Show", "Latest interest", "Forecast (t+1)", "Net change (t+1)"]

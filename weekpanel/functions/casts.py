@@ -75,9 +75,10 @@ def direction(c: Column | str, up: str, down: str) -> Column:
 
 
 def signed(c: Column | str, digits: int = 1) -> Column:
-    """Text with an explicit sign, such as ``+3.0``."""
-    return F.format_string(f"%+.{digits}f", _col(c))
+    """Text with an explicit sign, such as ``+3.0``; halves go to the even digit."""
+    return F.format_string(f"%+.{digits}f", F.bround(_col(c), digits))
 
 
 def plain(c: Column | str, digits: int = 1) -> Column:
-    return F.format_string(f"%.{digits}f", _col(c))
+    """Text with a fixed number of digits; halves go to the even digit."""
+    return F.format_string(f"%.{digits}f", F.bround(_col(c), digits))

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from weekpanel.functions.casts import _col
 
+# Fixed value: what a run id made from a date starts with.
+RUN_PREFIX = "airflow_"
+
 
 def week_start(c: Column | str) -> Column:
     """Monday of the date's week."""
@@ -15,7 +18,7 @@ def week_start(c: Column | str) -> Column:
 
 def run_id_for(run_id: Column | str, run_date: Column | str) -> Column:
     """The given run id, or one made from the run date."""
-    made = F.concat(F.lit("airflow_"), F.date_format(_col(run_date), "yyyyMMdd"))
+    made = F.concat(F.lit(RUN_PREFIX), F.date_format(_col(run_date), "yyyyMMdd"))
     return F.coalesce(F.nullif(_col(run_id), F.lit("")), made)
 
 

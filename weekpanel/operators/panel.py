@@ -1,7 +1,7 @@
 """The entity x week panel: cleaned series, row-based window features, targets and metadata.
 
-Windows run per entity over weeks. After ``weekly_series`` there is one row per entity and week, so a
-window holds at most one row per calendar week (52 a year), however many raw rows the entity has.
+Windows run per entity over weeks. ``weekly_series`` and ``clean_trends`` leave one row per entity and week,
+so a window holds at most one row per calendar week (52 a year), however many raw rows the entity has.
 """
 
 from __future__ import annotations
@@ -40,11 +40,13 @@ def weekly_series(
 
 
 def clean_trends(
-    trends: DataFrame, min_week: str | None = None, max_week: str | None = None, *, collapse: bool = False
+    trends: DataFrame, min_week: str | None = None, max_week: str | None = None, *, collapse: bool = True
 ) -> DataFrame:
     """Typed (id, week_start, interest) rows with both keys, inside the optional inclusive bounds.
 
-    ``collapse`` averages repeated (id, week) rows, for sources that do not promise one row per week.
+    ``collapse`` averages repeated (id, week) rows, map-side first, so that a window never holds more than
+    one row per calendar week. Leave it out only for a source that has one row per week, such as
+    ``weekly_series``.
     """
     require_columns(trends, ("id", "week_start", "interest"), "trends")
     typed = (
@@ -171,7 +173,7 @@ def build_panel(
     *,
     min_week: str | None = None,
     max_week: str | None = None,
-    collapse: bool = False,
+    collapse: bool = True,
 ) -> DataFrame:
     """Cleaned series with window features and metadata. The week bounds apply before the windows."""
     series = clean_trends(trends, min_week, max_week, collapse=collapse)

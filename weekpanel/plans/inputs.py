@@ -26,7 +26,7 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_panel(trends(spark, sf_dir), catalog(spark, sf_dir))
+    return build_panel(trends(spark, sf_dir), catalog(spark, sf_dir), collapse=False)
 
 
 def targets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from weekpanel.functions.text import tokens
+from weekpanel.operators import display as DS
 from weekpanel.operators import encoding as E
 from weekpanel.operators import features as X
 from weekpanel.operators import insights as K
@@ -218,6 +219,23 @@ def keyword_share(spark, sf):
     return I.rounded(top, "coverage_%", "mean_interest_present", "coverage_share")
 
 
+@query(
+    "keyword_display",
+    with_ctes(
+        "kw_scores trends",
+        _PANEL_SUMS
+        + _LIFT
+        + """select concat(upper(left(term, 1)), substr(term, 2)) as "Keyword", printf('%.1f', coverage) as "Coverage (%)",
+  coalesce(printf('%.2f', m1), '—') as "Mean interest (keyword present)",
+  coalesce(printf('%.2f', m0), '—') as "Mean interest (keyword absent)",
+  coalesce(printf('%+.2f', m1 - m0), '—') as "Lift (present − absent)"
+from lift order by m1 - m0 desc nulls last, keyword limit 12""",
+    ),
+)
+def keyword_display(spark, sf):
+    return DS.formatted(K.keyword_lift(_panel_insights(spark, sf)), DS.KEYWORD_LIFT)
+
+
 _DOC_SUMS = """, sums as (
   select doc_id as id, count(*) as n, count(quality) as known, cast(sum(quality) as double) as total
   from labels group by doc_id),
@@ -344,7 +362,7 @@ left join kept_terms kt on kt.id = f.id""",
 )
 def panel_clean_narrow(spark, sf):
     # Same rows as the panel, which the entity join would give its metadata a second time.
-    series = P.add_time_features(P.clean_trends(I.trends(spark, sf)))
+    series = P.add_time_features(P.clean_trends(I.trends(spark, sf), collapse=False))
     entities, _, fitted = clean_entities(
         I.trends(spark, sf), I.catalog(spark, sf),
         n_genres=I.N_GENRES, n_networks=I.N_NETWORKS, n_terms=I.N_TERMS,

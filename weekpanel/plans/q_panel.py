@@ -101,7 +101,7 @@ def win_targets(spark, sf):
     ),
 )
 def filter_date_range(spark, sf):
-    kept = P.clean_trends(I.trends(spark, sf), "1997-01-06", "1999-12-27")
+    kept = P.clean_trends(I.trends(spark, sf), "1997-01-06", "1999-12-27", collapse=False)
     return P.add_time_features(kept).select("id", "week_start", "interest", "lag_interest_1w")
 
 

@@ -58,7 +58,7 @@ def src_pages_explode(spark, sf):
         """select id, name, original_name, cast(first_air_date as varchar) as first_air_date,
         cast(last_air_date as varchar) as last_air_date, status, type, in_production, number_of_seasons,
         2 * number_of_seasons as number_of_episodes,
-        case when id % 10 <> 0 then number_of_seasons + 1.0 end as episode_run_time_mean,
+        case when id % 10 <> 0 then cast(number_of_seasons + 1 as double) end as episode_run_time_mean,
         popularity, vote_average, vote_count, number_of_seasons % 4 as num_cast,
         case when number_of_seasons % 3 = 0 then 1 else 2 end as num_directors,
         replace(keywords, ' ', ',') as keywords,

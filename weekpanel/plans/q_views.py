@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from weekpanel.functions.casts import direction, plain, signed
+from weekpanel.operators import display as DS
 from weekpanel.operators import insights as K
 from weekpanel.operators import latest as L
 from weekpanel.operators import movers as MV
@@ -116,12 +117,25 @@ def movers_both(spark, sf):
     return I.rounded(MV.both_ways(I.movers(spark, sf)), *_MOVER_NUMBERS)
 
 
+@query(
+    "movers_display",
+    with_ctes(
+        "strong",
+        """select name as "Show", printf('%.1f', last_interest) as "Latest interest",
+        printf('%.1f', "predicted_t+1") as "Forecast (t+1)", printf('%+.1f', "delta_t+1") as "Net change (t+1)"
+from strong order by "delta_t+1" desc, id limit 15""",
+    ),
+)
+def movers_display(spark, sf):
+    return DS.formatted(MV.gainers(I.movers(spark, sf), n=15), DS.MOVERS)
+
+
 @query(
     "movers_direction",
     with_ctes(
         "movers",
         """select id, case when d >= 0 then 'Up' else 'Down' end as direction, round(abs(d), 6) as size,
-        printf('%+.2f', d) as delta_text, printf('%.1f', last_interest) as interest_text
+        printf('%+.1f', d) as delta_text, printf('%.1f', last_interest) as interest_text
 from (select id, last_interest, "delta_t+1" as d from movers)""",
     ),
 )
@@ -131,7 +145,7 @@ def movers_direction(spark, sf):
         "id",
         direction("d", "Up", "Down").alias("direction"),
         F.round(F.abs("d"), 6).alias("size"),
-        signed("d", 2).alias("delta_text"),
+        signed("d").alias("delta_text"),
         plain("last_interest").alias("interest_text"),
     )
 

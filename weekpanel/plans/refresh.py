@@ -88,13 +88,16 @@ def refresh(
     vocabulary: Sequence[str] | None = None,
     purge: int = 0,
     collapse: bool = True,
+    min_week: str | None = None,
+    max_week: str | None = None,
 ) -> dict:
     """Build and, with ``retrain``, train, validate and publish one run under ``root``.
 
     Each stage is written before the next reads it, so a lost executor repeats only its own stage.
     """
     stage = f"{root}/stages/run_id={run['run_id']}/week_start={run['week_start']}"
-    write_parquet(build_panel(trends, catalog, collapse=collapse), f"{stage}/panel")
+    built = build_panel(trends, catalog, min_week=min_week, max_week=max_week, collapse=collapse)
+    write_parquet(built, f"{stage}/panel")
     panel = read_parquet(spark, f"{stage}/panel")
     entities, kept, fitted = clean_entities(panel, catalog, vocabulary=vocabulary, **(sizes or {}))
     write_parquet(clean_nonfinite(clean_panel(panel, entities)), f"{stage}/panel_clean")
