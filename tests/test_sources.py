@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from weekpanel import schemas, session
 from weekpanel.operators import metrics as MH
 from weekpanel.operators import model as M
+from weekpanel.plans import serve as SV
 from weekpanel.plans.refresh import refresh
 from weekpanel.sources import documents as DOC
 from weekpanel.sources import landing as LD
@@ -203,6 +204,23 @@ def test_forecast_is_clipped_and_complete(refreshed):
     assert {(r["week_start"] - rows[0]["week_start"]).days % 7 for r in rows} == {0}
 
 
+def test_serving_reads_what_was_published(spark, refreshed):
+    root, _, again = refreshed
+    serving = SV.load(spark, root)
+    assert serving.features == again["features"]
+    history, forecast = SV.entity_forecast(serving, 3, max_horizon=1)
+    assert history.count() == 40
+    assert [str(r["week_start"]) for r in forecast.collect()] == ["2023-10-09"]
+    with pytest.raises(ValueError, match="99"):
+        SV.entity_forecast(serving, 99)
+    moved = SV.trending(serving).collect()
+    assert [r["delta_t+1"] for r in moved] == sorted((r["delta_t+1"] for r in moved), reverse=True)
+    ranked = SV.overview(serving).orderBy("rank_popularity").collect()
+    assert [r["popularity"] for r in ranked] == sorted((r["popularity"] for r in ranked), reverse=True)
+    important, local = SV.explain(serving, 3)
+    assert important.count() > 0 and {r["id"] for r in local.collect()} == {3}
+
+
 def test_validation_guards(refreshed):
     _, out, _ = refreshed
     clean, spec = out["panel_clean"], out["features"]

@@ -277,23 +277,24 @@ def split_counts(spark, sf):
     return S.split_counts(S.time_split(I.targets(spark, sf)))
 
 
-_SHORT = """with short as (
-  select user_id as id, cast(date_trunc('week', ts) as date) as week_start, cast(count(*) as double) as interest
-  from events where cast(date_trunc('week', ts) as date) <= date '2024-01-22' group by 1, 2)"""
-
-
 @query(
     "split_fallback",
-    f"""{_SHORT}
+    """with short as (
+  select user_id as id, cast(date_trunc('month', ts) as date) + cast(10 * ((day(ts) - 1) // 10) as int) as week_start,
+         cast(count(*) as double) as interest
+  from events group by 1, 2)
 select id, week_start, interest,
        case when row_number() over (order by id, week_start) <= floor(count(*) over () * 0.8) then 'train' else 'val' end as split,
        max(week_start) over () as cutoff_week
 from short""",
 )
 def split_fallback(spark, sf):
-    ones = I.table(spark, sf, "events").select("user_id", "ts", F.lit(1.0).alias("one"))
-    weekly = P.weekly_series(ones, "user_id", "ts", "one", scale_to_peak=False)
-    return S.time_split(P.clean_trends(weekly, max_week="2024-01-22"))
+    # Ten-day periods of one month: fewer than five, so the rows are split by position.
+    period = F.floor((F.dayofmonth("ts") - 1) / 10).cast("int") * 10
+    start = F.date_add(F.trunc(F.col("ts").cast("date"), "MONTH"), period)
+    keys = (F.col("user_id").alias("id"), start.alias("week_start"))
+    rows = I.table(spark, sf, "events").groupBy(*keys).agg(F.count(F.lit(1)).cast("double").alias("interest"))
+    return S.time_split(rows)
 
 
 @query(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from weekpanel.functions.casts import direction, plain, signed
+from weekpanel.operators import dedupe as DD
 from weekpanel.operators import display as DS
 from weekpanel.operators import insights as K
 from weekpanel.operators import latest as L
@@ -316,10 +317,8 @@ def missingness_top(spark, sf):
     "dedupe_first",
     """select event_id, user_id, event_type, value from events
 qualify row_number() over (partition by user_id order by event_id) = 1
-order by event_id limit 500""",
+order by event_id limit 100""",
 )
 def dedupe_first(spark, sf):
-    from weekpanel.operators.dedupe import dedupe_first as first_rows
-
     events = I.table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
-    return first_rows(events, "user_id", "event_id", 500)
+    return DD.dedupe_first(events, "user_id", "event_id", 100)
