@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from weekpanel.functions.casts import to_date
 from weekpanel.functions.text import split_list
 from weekpanel.operators.quantile import grouped_percentile
+from weekpanel.session import broadcast_if_small, cut_lineage
 
 # Sizes of the kept vocabularies.
 TOP_GENRES = 15
@@ -69,9 +70,10 @@ def impute_group_median(
     weight: str | None = "n_weeks",
 ) -> DataFrame:
     """Fill with the group's median, then what is left with the median of the filled column."""
-    medians = grouped_percentile(df, [group], column, 0.5, weight, out="_median")
+    # Used twice, and counted: few groups are broadcast, many are joined with adaptive skew handling.
+    medians = cut_lineage(grouped_percentile(df, [group], column, 0.5, weight, out="_median"))
     filled = (
-        df.join(medians, group, "left")
+        df.join(broadcast_if_small(medians, medians.count()), group, "left")
         .withColumn(column, F.coalesce(F.col(column), F.col("_median")))
         .select(*df.columns)
     )

@@ -168,12 +168,14 @@ from lineitem l join supplier s on s.s_suppkey = l.l_suppkey group by 1, 2"""
 
 def _nation_series(spark, sf):
     """Weekly quantity per nation: few entities with long series."""
-    sold = I.table(spark, sf, "lineitem").select("l_suppkey", "l_shipdate", "l_quantity")
+    # Aggregated per supplier before the join, so that a hot supplier is a few rows there.
+    sold = weekly_series(
+        I.table(spark, sf, "lineitem"), "l_suppkey", "l_shipdate", "l_quantity", scale_to_peak=False
+    )
     nation = I.table(spark, sf, "supplier").select(
-        F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").cast("bigint").alias("nation")
+        F.col("s_suppkey").alias("id"), F.col("s_nationkey").cast("bigint").alias("nation")
     )
-    joined = sold.join(nation, "l_suppkey")
-    return weekly_series(joined, "nation", "l_shipdate", "l_quantity", scale_to_peak=False)
+    return weekly_series(sold.join(nation, "id"), "nation", "week_start", "interest", scale_to_peak=False)
 
 
 @query("src_cache_scan", _NATION_SQL)

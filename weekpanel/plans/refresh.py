@@ -109,7 +109,9 @@ def refresh(
         return out
 
     codes = category_codes(clean)
-    frame = fitted_frame(clean, spec, horizons, codes, purge=purge).persist(StorageLevel.MEMORY_AND_DISK)
+    # Written first, so that the fits read partitions sized by data, and lost ones come back from files.
+    write_parquet(fitted_frame(clean, spec, horizons, codes, purge=purge), f"{stage}/training")
+    frame = read_parquet(spark, f"{stage}/training").persist(StorageLevel.MEMORY_AND_DISK)
     records, folders = [], {}
     for family in M.FAMILIES:
         models, found = M.train_family(frame, family, horizons, (settings or {}).get(family))
