@@ -65,7 +65,8 @@ def test_group_median_then_overall_median(spark):
 
 
 def test_lists_and_vocabulary(spark):
-    df = spark.createDataFrame([(1, " a , ,b", 1), (2, "", 5), (3, None, 5), (4, "b,c,c", 2)], "id int, g string, n_weeks int")
+    rows = [(1, " a , ,b", 1), (2, "", 5), (3, None, 5), (4, "b,c,c", 2)]
+    df = spark.createDataFrame(rows, "id int, g string, n_weeks int")
     lists = [r[0] for r in df.orderBy("id").select(TX.split_list("g")).collect()]
     assert lists == [["a", "b"], [], [], ["b", "c", "c"]]
     top = X.top_tokens(df, "g", 2)
@@ -222,7 +223,8 @@ def test_dedupe_is_stable_and_idempotent(spark):
 
 
 def test_keyword_insights_edge_cases(spark):
-    sums = K.entity_sums(spark.createDataFrame([(1, 2.0), (1, 4.0), (2, None), (3, 9.0)], "id int, interest double"))
+    rows = spark.createDataFrame([(1, 2.0), (1, 4.0), (2, None), (3, 9.0)], "id int, interest double")
+    sums = K.entity_sums(rows)
     words = spark.createDataFrame([(1, "a"), (2, "b"), (1, "c"), (2, "c"), (3, "c")], "id int, term string")
     got = {r["keyword"]: r for r in K.keyword_insights(sums, words).collect()}
     assert got["kw__a"]["mean_interest_present"] == 3.0 and got["kw__a"]["mean_interest_absent"] == 9.0
@@ -244,4 +246,8 @@ def test_display(spark):
         [("a", 0.25, -0.25, None, 1)], "name string, last_interest double, `predicted_t+1` double, `delta_t+1` double, id int"
     )
     assert tuple(DS.formatted(df, DS.MOVERS).first()) == ("a", "0.2", "-0.2", "—")
+    ranked = df.withColumn("rank_popularity", F.lit(1))
+    assert tuple(DS.formatted(ranked, DS.OVERVIEW).first())[:2] == (1, "a")
+    words = spark.sql("select 'Dark' as keyword_readable, 12.34D as `coverage_%`, null as mean_interest_present")
+    assert tuple(DS.formatted(words, DS.KEYWORD_COVERAGE).first()) == ("Dark", "12.3", "—")
     assert DS.renamed(df, DS.MOVERS).columns == ["Show", "Latest interest", "Forecast (t+1)", "Net change (t+1)"]

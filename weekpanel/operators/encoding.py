@@ -80,12 +80,6 @@ def feature_columns(df: DataFrame, horizons: Sequence[int] = HORIZONS) -> list[s
     ]
 
 
-def contract_frame(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """The contract as a small (position, name) table."""
-    rows = [(i, n) for i, n in enumerate(names)]
-    return df.sparkSession.createDataFrame(rows, "position int, name string")
-
-
 def missing_features(df: DataFrame, names: Sequence[str]) -> list[str]:
     """Contract columns the table lacks."""
     return [n for n in names if n not in df.columns]

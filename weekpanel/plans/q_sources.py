@@ -9,7 +9,7 @@ from weekpanel.operators.panel import add_time_features, weekly_series
 from weekpanel.plans import inputs as I
 from weekpanel.plans.registry import query
 from weekpanel.plans.sql import with_ctes
-from weekpanel.schemas import CACHE_ROW
+from weekpanel.schemas import CACHE_ROW, TRENDS
 from weekpanel.session import scratch_path
 from weekpanel.sources import documents as DOC
 from weekpanel.sources import landing as LD
@@ -189,7 +189,7 @@ def src_cache_scan(spark, sf):
 def src_cache_bucketed(spark, sf):
     path = scratch_path(spark, "cache")
     LD.write_bucketed_cache(I.trends(spark, sf), path, 16)
-    return LD.read_bucketed_cache(spark, path, f"id bigint, {CACHE_ROW}").select("id", "week_start", "interest")
+    return LD.read_bucketed_cache(spark, path, TRENDS).select("id", "week_start", "interest")
 
 
 @query(
@@ -240,8 +240,8 @@ def src_resume_stream(spark, sf):
     early = F.col("week_start") < F.lit("1999-01-01").cast("date")
     for part in (early, ~early):
         series.where(part).write.mode("append").option("header", True).csv(landed)
-        SL.take_new_files(spark, landed, "id bigint, week_start date, interest double", target, checkpoint)
-    SL.take_new_files(spark, landed, "id bigint, week_start date, interest double", target, checkpoint)
+        SL.take_new_files(spark, landed, TRENDS, target, checkpoint)
+    SL.take_new_files(spark, landed, TRENDS, target, checkpoint)
     return SL.intake(spark, target)
 
 
