@@ -39,7 +39,7 @@ def keyword_insights(sums: DataFrame, keywords: DataFrame, id_col: str = "id") -
         .groupBy("term")
         .agg(F.sum("rows").alias("rows"), F.sum("known").alias("known"), F.sum("total").alias("total"))
         .withColumn("_all", totals)
-        .where(F.col("rows") >= MIN_COVERAGE * F.col("_all.rows"))
+        .where(F.try_divide("rows", F.col("_all.rows")) >= MIN_COVERAGE)
     )
     means = present.select(
         F.concat(F.lit("kw__"), "term").alias("keyword"),

@@ -174,8 +174,12 @@ def build_panel(
     min_week: str | None = None,
     max_week: str | None = None,
     collapse: bool = True,
+    catalog_order: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Cleaned series with window features and metadata. The week bounds apply before the windows."""
+    """Cleaned series with window features and metadata. The week bounds apply before the windows.
+
+    Of repeated catalog ids the first by ``catalog_order`` counts.
+    """
     series = clean_trends(trends, min_week, max_week, collapse=collapse)
     featured = add_time_features(series)
-    return clean_nonfinite(attach_catalog(featured, prepare_catalog(catalog)))
+    return clean_nonfinite(attach_catalog(featured, prepare_catalog(catalog, catalog_order)))

@@ -90,12 +90,15 @@ def refresh(
     collapse: bool = True,
     min_week: str | None = None,
     max_week: str | None = None,
+    catalog_order: Sequence[str] | None = None,
 ) -> dict:
     """Build and, with ``retrain``, train, validate and publish one run under ``root``.
 
     Each stage is written before the next reads it, so a lost executor repeats only its own stage.
     """
     stage = f"{root}/stages/run_id={run['run_id']}/week_start={run['week_start']}"
+    write_parquet(prepare_catalog(catalog, catalog_order), f"{stage}/catalog")
+    catalog = read_parquet(spark, f"{stage}/catalog")
     built = build_panel(trends, catalog, min_week=min_week, max_week=max_week, collapse=collapse)
     write_parquet(built, f"{stage}/panel")
     panel = read_parquet(spark, f"{stage}/panel")
