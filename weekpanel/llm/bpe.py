@@ -1,35 +1,28 @@
-"""Byte-level BPE: a merge of each short word over a contiguous rank array, and the decoder that undoes it."""
+"""Byte-level BPE: short words are merged over contiguous rank arrays; the decoder undoes it."""
 
 from __future__ import annotations
 
 import hashlib
-import heapq
 import json
 import struct
-from functools import lru_cache, partial
+from functools import partial
 from itertools import islice
 
 import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
-from .common import split_special, text_columns, tokenizer_path
+from .common import Assigned, split_special, text_columns, tokenizer_path
+from .merges import byte_alphabet, read_merges
 
 VOCABULARY = "byte_bpe_50k.json"
 #: The pre-token pattern of byte-level BPE vocabularies (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Words of more bytes are merged through a heap: scans of the rank array would take the square of their length.
-SHORT_BYTES = 192
 #: Words kept with their ids in each Python worker; the memo is emptied beyond that. Longer words are not kept.
 MEMO_WORDS = 300_000
-_NONE = 1 << 60
-
-
-def byte_alphabet() -> dict[int, str]:
-    """The printable character that stands for each byte in vocabulary files: itself if printable, else one from 256 up."""
-    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(256) if b not in printable]
-    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
+KEPT_LENGTH = 64
+#: Words of one very long text are taken in portions of so many.
+PORTION = 200_000
 
 
 class Bpe:
@@ -42,90 +35,63 @@ class Bpe:
         to_char = byte_alphabet()
         to_byte = {c: b for b, c in to_char.items()}
         self.byte_id = [vocab[to_char[b]] for b in range(256)]
-        self.pairs: dict[int, int] = {}
-        self.merged: list[int] = []
-        for rank, pair in enumerate(spec["model"]["merges"]):
-            left, right = pair if isinstance(pair, list) else pair.split(" ")
-            self.pairs.setdefault(vocab[left] << 32 | vocab[right], rank)
-            self.merged.append(vocab[left + right])
+        self.merges = read_merges(spec)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        size = 1 + max([*vocab.values(), *self.special.values()])
-        self.piece: list[bytes] = [b""] * size
+        self.piece: list[bytes] = [b""] * (1 + max([*vocab.values(), *self.special.values()]))
         for token, i in vocab.items():
             self.piece[i] = bytes(to_byte[c] for c in token)
         for token, i in self.special.items():
             self.piece[i] = token.encode()
         self.split = split_special(list(self.special))
         self.words = regex.compile(PATTERN)
+        self.path, self.library, self.assigned = path, None, Assigned()
         self.memo: dict[str, bytes] = {}
 
-    def merge(self, word: bytes) -> list[int]:
-        """Token ids of one pre-token: merge the adjacent pair of lowest rank, the leftmost of equals, until none is left."""
-        ids = [self.byte_id[b] for b in word]
-        if len(ids) > SHORT_BYTES:
-            return self._merge_long(ids)
-        pairs, merged = self.pairs, self.merged
-        ranks = [pairs.get(a << 32 | b, _NONE) for a, b in zip(ids, ids[1:], strict=False)]
-        while ranks:
-            low = min(ranks)
-            if low == _NONE:
-                break
-            i = ranks.index(low)
-            ids[i : i + 2] = [merged[low]]
-            del ranks[i]
-            if i:
-                ranks[i - 1] = pairs.get(ids[i - 1] << 32 | ids[i], _NONE)
-            if i < len(ranks):
-                ranks[i] = pairs.get(ids[i] << 32 | ids[i + 1], _NONE)
-        return ids
-
-    def _merge_long(self, ids: list[int]) -> list[int]:
-        """The same merges over a linked list and a heap."""
-        n = len(ids)
-        after, before, pairs = [*range(1, n), -1], list(range(-1, n - 1)), self.pairs
-        heap = [(r, i) for i in range(n - 1) if (r := pairs.get(ids[i] << 32 | ids[i + 1])) is not None]
-        heapq.heapify(heap)
-        while heap:
-            rank, i = heapq.heappop(heap)
-            j = after[i]
-            if ids[i] < 0 or j < 0 or pairs.get(ids[i] << 32 | ids[j]) != rank:
-                continue
-            ids[i], ids[j] = self.merged[rank], -1
-            after[i] = k = after[j]
-            if k >= 0:
-                before[k] = i
-                if (r := pairs.get(ids[i] << 32 | ids[k])) is not None:
-                    heapq.heappush(heap, (r, i))
-            if (h := before[i]) >= 0 and (r := pairs.get(ids[h] << 32 | ids[i])) is not None:
-                heapq.heappush(heap, (r, h))
-        return [i for i in ids if i >= 0]
-
-    def _packed(self, word: str) -> bytes:
-        raw = word.encode()
-        ids = self.merge(raw)
-        packed = struct.pack(f"<{len(ids)}I", *ids)
-        if len(raw) <= SHORT_BYTES:
-            if len(self.memo) >= MEMO_WORDS:
-                self.memo.clear()
-            self.memo[word] = packed
+    def _split_by_library(self, part: str) -> list[str]:
+        """Pre-tokens of a text with unassigned characters, whose classes depend on the library's Unicode version."""
+        if self.library is None:
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_file(self.path)
+        return [part[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(part)]
+
+    def portions(self, text: str):
+        """Lists of pre-tokens of a text in order; a special string is the only one in its list."""
+        for k, part in enumerate(self.split.split(text) if self.split else [text]):
+            if k % 2 or not part:
+                yield [part] if part else []
+            elif not self.assigned.all_of(part):
+                yield self._split_by_library(part)
+            elif len(part) <= PORTION:
+                yield self.words.findall(part)
+            else:
+                found = (m.group() for m in self.words.finditer(part))
+                while some := list(islice(found, PORTION)):
+                    yield some
+
+    def learn(self, words: set[str]) -> dict[str, bytes]:
+        """Packed ids of words that the memo lacks; short ones go into the memo."""
+        new = list(words)
+        byte_id = self.byte_id
+        ids = self.merges.merge([[byte_id[b] for b in w.encode()] for w in new])
+        packed = {w: struct.pack(f"<{len(i)}I", *i) for w, i in zip(new, ids, strict=True)}
+        packed |= {w: struct.pack("<I", self.special[w]) for w in new if w in self.special}
+        if len(self.memo) + len(packed) > MEMO_WORDS:
+            self.memo.clear()
+        self.memo.update((w, p) for w, p in packed.items() if len(w) <= KEPT_LENGTH)
         return packed
 
-    def encode(self, text: str) -> bytes:
-        """Ids of a whole text as little-endian unsigned 32-bit integers."""
-        out: list[bytes] = []
-        parts = self.split.split(text) if self.split else [text]
-        known, pack = self.memo.get, self._packed
-        for k, part in enumerate(parts):
-            if k % 2:
-                out.append(struct.pack("<I", self.special[part]))
-                continue
-            if len(part) <= 500_000:
-                out.append(b"".join([known(w) or pack(w) for w in self.words.findall(part)]))
-                continue
-            found = (m.group() for m in self.words.finditer(part))
-            while words := list(islice(found, 100_000)):
-                out.append(b"".join([known(w) or pack(w) for w in words]))
-        return b"".join(out)
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of whole texts as little-endian unsigned 32-bit integers."""
+        found = [[*self.portions(t)] for t in texts]
+        wanted: set[str] = set()
+        for portions in found:
+            for words in portions:
+                wanted.update(words)
+        known = {w: p for w in wanted if (p := self.memo.get(w)) is not None}
+        known |= self.learn(wanted - known.keys())
+        get = known.__getitem__
+        return [b"".join([b"".join(map(get, words)) for words in portions]) for portions in found]
 
     def decode(self, ids: bytes) -> str:
         """The text of packed ids; bytes that are no UTF-8 become U+FFFD."""
@@ -133,20 +99,17 @@ class Bpe:
         return b"".join(pieces).decode("utf-8", "replace")
 
 
-@lru_cache(maxsize=2)
-def load(path: str) -> Bpe:
-    return Bpe(path)
-
-
-def _digest(bpe: Bpe, text: str | None) -> tuple:
-    ids = bpe.encode(text or "")
-    decoded = bpe.decode(ids)
-    return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+def _digests(bpe: Bpe, texts: list[str | None]) -> list[tuple]:
+    out = []
+    for ids in bpe.encode([t or "" for t in texts]):
+        decoded = bpe.decode(ids).encode()
+        out.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()))
+    return out
 
 
-def _ids(bpe: Bpe, text: str | None) -> tuple:
-    ids = bpe.encode(text or "")
-    return (np.frombuffer(ids, "<u4").astype("i4"), len(ids) // 4, bpe.decode(ids))
+def _ids(bpe: Bpe, texts: list[str | None]) -> list[tuple]:
+    encoded = bpe.encode([t or "" for t in texts])
+    return [(np.frombuffer(ids, "<u4").astype("i4"), len(ids) // 4, bpe.decode(ids)) for ids in encoded]
 
 
 def encode(df: DataFrame, path: str | None = None, text: str = "text") -> DataFrame:
@@ -154,11 +117,11 @@ def encode(df: DataFrame, path: str | None = None, text: str = "text") -> DataFr
 
     Null and empty texts have no ids and decode to the empty text. Repeated rows stay, an empty table stays empty.
     """
-    setup = partial(load, path or tokenizer_path(VOCABULARY))
-    return text_columns(df, "ids array<int>, n_tokens bigint, decoded string", setup, _ids, text)
+    setup = partial(Bpe, path or tokenizer_path(VOCABULARY))
+    return text_columns(df, "ids array<int>, n_tokens bigint, decoded string", setup, _ids, text, many=True)
 
 
 def digests(df: DataFrame, path: str | None = None, text: str = "text") -> DataFrame:
     """Add ``n_tokens``, ``ids_sha256`` and ``decoded_sha256``: as ``encode``, without carrying the ids."""
-    setup = partial(load, path or tokenizer_path(VOCABULARY))
-    return text_columns(df, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", setup, _digest, text)
+    setup = partial(Bpe, path or tokenizer_path(VOCABULARY))
+    return text_columns(df, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", setup, _digests, text, many=True)

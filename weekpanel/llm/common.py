@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -15,6 +16,7 @@ from pyspark.sql.types import StructType
 FOLDS = 5
 #: Results that are collected to be broadcast stay below this many bytes; operators have another way beyond it.
 BROADCAST_BYTES = 32 << 20
+CHUNK_CHARS = 1_000_000
 
 _ASCII_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -54,12 +56,13 @@ def py_fold(doc_id: object) -> int:
 
 
 def text_columns(
-    df: DataFrame, fields: str, setup: Callable[[], object], work: Callable, text: str = "text"
+    df: DataFrame, fields: str, setup: Callable[[], object], work: Callable, text: str = "text", many: bool = False
 ) -> DataFrame:
     """Add the columns ``fields`` (DDL), which ``work(state, text)`` returns as one tuple for each text (None stays None).
 
-    Only the text goes to Python, in Arrow batches; every other column stays where it is. ``setup`` runs once a task.
-    New columns replace columns of the same names.
+    With ``many``, ``work`` takes a list of texts, about ``CHUNK_CHARS`` characters at a time, and returns a list of
+    tuples. Only the text goes to Python, in Arrow batches; every other column stays where it is. ``setup`` runs once a
+    task. New columns replace columns of the same names.
     """
     schema = StructType.fromDDL(fields)
     arrow = to_arrow_type(schema)
@@ -67,7 +70,10 @@ def text_columns(
     def compute(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         state = setup()
         for batch in batches:
-            rows = [work(state, t.as_py()) for t in batch]
+            if many:
+                rows = [row for some in chunks(batch) for row in work(state, some)]
+            else:
+                rows = [work(state, t.as_py()) for t in batch]
             columns = zip(*rows, strict=True) if rows else [()] * len(schema)
             yield pa.StructArray.from_arrays(
                 [pa.array(c, type=f.type) for c, f in zip(columns, arrow, strict=True)], fields=list(arrow)
@@ -81,6 +87,18 @@ def text_columns(
     return out.withColumns({f: F.col(f"{packed}.{f}") for f in schema.names}).drop(packed)
 
 
+def chunks(batch: pa.Array) -> Iterator[list[str | None]]:
+    some, size = [], 0
+    for t in batch:
+        some.append(t.as_py())
+        size += len(some[-1] or "")
+        if size >= CHUNK_CHARS:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
+
+
 def by_hash(ids: DataFrame, key: str, share: Column, seed: int) -> DataFrame:
     """Rows whose hashed key falls below ``share`` (0 to 1): the same rows however the table is split or ordered."""
     spread = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1 << 30)) / float(1 << 30)
@@ -92,3 +110,19 @@ def split_special(contents: list[str]) -> re.Pattern | None:
     """A pattern that keeps special tokens apart from ordinary text: leftmost, longest first; None if there are none."""
     ordered = sorted(contents, key=len, reverse=True)
     return re.compile("(" + "|".join(map(re.escape, ordered)) + ")") if ordered else None
+
+
+class Assigned:
+    """Tells whether all characters of a text are assigned ones. Libraries of other Unicode versions class the rest anew."""
+
+    def __init__(self):
+        self.known: set[str] = set()
+
+    def all_of(self, text: str) -> bool:
+        if text.isascii():
+            return True
+        if new := set(text) - self.known:
+            if any(unicodedata.category(c) == "Cn" for c in new):
+                return False
+            self.known |= new
+        return True
