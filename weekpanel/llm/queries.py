@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, langid, quality, secrets, token_count
+from . import bpe, decontam, langid, quality, secrets, simhash, token_count
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,10 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     columns = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
     return decontam.digests(found).select(*columns)
+
+
+@query("op10_simhash")
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    fingerprint = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
+    return marked.select("doc_id", fingerprint, "component_id")
