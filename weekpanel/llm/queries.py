@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, langid, quality, secrets, simhash, token_count
+from . import bpe, decontam, langid, quality, secrets, simhash, token_count, topk
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,21 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     fingerprint = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
     return marked.select("doc_id", fingerprint, "component_id")
+
+
+OP7_SQL = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) q from embeddings
+  where embedding is not null and len(embedding) > 0 and vec_id is not null
+    and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)),
+s as (
+  select a.vec_id query_id, b.vec_id, cast(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])) as bigint) score
+  from v a join v b on a.vec_id % 20 = 0 and a.vec_id <> b.vec_id and len(a.q) = len(b.q)),
+r as (select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) "rank", vec_id, score from s)
+select * from r where "rank" <= 20
+"""
+
+
+@query("op7_topk", OP7_SQL)
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
