@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -20,7 +21,7 @@ def shared_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         configured = tempfile.mkdtemp(prefix="weekpanel-")
     sc.setCheckpointDir(configured)
