@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, html_extract, langid, quality, secrets, simhash, token_count, topk
+from . import bpe, decontam, html_extract, langid, quality, secrets, simhash, substring, token_count, topk
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,25 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_html_extraction")
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+OP5_SQL = r"""
+with docs as (
+  select row_number() over () r, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) w from documents),
+win as (select r, unnest(generate_series(1, len(w) - 34)) s, w from docs where len(w) >= 35),
+keyed as (select r, s, md5(array_to_string(w[s : s + 34], ' ')) g from win),
+again as (select g from keyed group by g having count(*) > 1),
+starts as (select r, s from keyed where g in (select g from again)),
+gone as (select distinct r, unnest(generate_series(s, s + 34)) p from starts),
+word as (select r, unnest(w) word, unnest(generate_series(1, len(w))) p from docs),
+kept as (
+  select r, count(*) n, string_agg(word, ' ' order by p) k from word anti join gone using (r, p) group by r)
+select doc_id, cast(len(w) as bigint) n_words, cast(len(w) - coalesce(n, 0) as bigint) n_removed, sha256(coalesce(k, '')) kept_sha256
+from docs left join kept using (r)
+"""
+
+
+@query("op5_substring_dedup", OP5_SQL)
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring.remove(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
