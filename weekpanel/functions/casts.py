@@ -64,8 +64,8 @@ def require_columns(df: DataFrame, required: Iterable[str], what: str = "table")
 
 
 def clip(c: Column | str, low: float, high: float) -> Column:
-    """Clip to [low, high]; NULL stays NULL."""
-    x = _col(c)
+    """Clip to [low, high]; NULL stays NULL, and what is no real number becomes NULL."""
+    x = finite(c)
     return F.when(x < low, F.lit(float(low))).when(x > high, F.lit(float(high))).otherwise(x)
 
 

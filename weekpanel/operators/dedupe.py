@@ -13,7 +13,9 @@ def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None, last:
     if not rest:
         return df.dropDuplicates(list(keys))
     row = F.struct(*[F.col(f"`{c}`") for c in rest])
-    by = F.struct(*[F.col(f"`{c}`") for c in order], row) if order else row
+    # Of the first rows, a missing order value comes last.
+    ordered = [F.col(f"`{c}`") if last else F.struct(F.col(f"`{c}`").isNull(), F.col(f"`{c}`")) for c in order or ()]
+    by = F.struct(*ordered, row) if order else row
     chosen = (F.max if last else F.min)(by).alias("_row")
     picked = df.groupBy(*keys).agg(chosen)
     source = f"_row.col{len(order) + 1}" if order else "_row"

@@ -45,7 +45,7 @@ def recent_change(
 def entity_history(panel: DataFrame, entity_id, id_col: str = "id") -> DataFrame:
     """All rows of one entity; the filter reaches the scan. Raises if there are none."""
     rows = panel.where(F.col(id_col) == F.lit(entity_id))
-    if rows.isEmpty():
+    if rows.select(id_col).isEmpty():
         raise ValueError(f"id {entity_id} is not in the panel")
     return rows
 
@@ -87,9 +87,9 @@ def labelled_series(history: DataFrame, forecast: DataFrame, forecast_label: str
 
 def compare_entities(panel: DataFrame, forecast: DataFrame, names: DataFrame, ids: Sequence) -> DataFrame:
     """Series and t+1 points of two to five entities over the last half year of their union."""
-    chosen = list(ids)[:MAX_COMPARED]
-    if len(chosen) < 2:
-        raise ValueError("pick at least two entities")
+    chosen = list(dict.fromkeys(ids))
+    if not 2 <= len(chosen) <= MAX_COMPARED:
+        raise ValueError(f"pick two to {MAX_COMPARED} entities, not {len(chosen)}")
     picked = F.col("id").isin(chosen)
     t1 = forecast.where(picked & (F.col("horizon") == 1))
     both = labelled_series(panel.where(picked), t1, "Forecast t+1")

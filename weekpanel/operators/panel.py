@@ -27,7 +27,10 @@ TEXT_COLUMNS = ("genres", "networks", "keywords")
 def weekly_series(
     raw: DataFrame, id_col: str, ts_col: str, amount_col: str, *, scale_to_peak: bool = True
 ) -> DataFrame:
-    """Raw dated amounts to (id, week_start, interest), scaled so that an entity's best week is 100."""
+    """Raw dated amounts to (id, week_start, interest), scaled so that an entity's best week is 100.
+
+    An entity that never has more than 0 keeps 0 in all its weeks.
+    """
     weekly = raw.groupBy(F.col(id_col).alias("id"), monday(ts_col).alias("week_start")).agg(
         F.sum(amount_col).alias("interest")
     )
@@ -35,8 +38,9 @@ def weekly_series(
         return weekly
     # Same partition and order as the feature windows, so that one sort serves both.
     whole = series_window().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    scaled = F.floor(100 * F.col("interest") / F.max("interest").over(whole)).cast("double")
-    return weekly.withColumn("interest", scaled)
+    marked = weekly.withColumn("_peak", F.max("interest").over(whole))
+    scaled = F.floor(100 * F.col("interest") / F.col("_peak")).cast("double")
+    return marked.withColumn("interest", F.when(F.col("_peak") == 0, 0.0).otherwise(scaled)).drop("_peak")
 
 
 def clean_trends(

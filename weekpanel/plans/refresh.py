@@ -132,6 +132,6 @@ def refresh(
     history = PB.resolve(spark, root)["metrics_history"] if seen else None
     merged = MH.append_dedupe(history, new)
     generation = PB.publish(
-        clean, spec.names(), root, run, folders, metrics=merged, expected_generation=seen
+        clean, spec.names(), root, run, folders, metrics=merged, codes=codes, expected_generation=seen
     )
     return {**out, "codes": codes, "records": records, "generation": generation, "folders": folders}

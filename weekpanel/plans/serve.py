@@ -22,7 +22,7 @@ KEPT = ("id", "week_start", "name", "interest", "popularity", "vote_average")
 
 @dataclass(frozen=True)
 class Serving:
-    """The published panel, metrics and models, with the category codes of that panel."""
+    """The published panel, metrics and models, with the category codes that the models were trained with."""
 
     panel: DataFrame
     metrics: DataFrame
@@ -37,7 +37,10 @@ def load(spark: SparkSession, root: str, family: str = M.PRIMARY_FAMILY) -> Serv
     panel = found["panel_clean"]
     models = M.load_models(found["manifest"]["models"][f"{family}_dir"])
     features = from_contract(found["feature_columns"])
-    return Serving(panel, found["metrics_history"], features, category_codes(panel), models)
+    codes = found["category_codes"]
+    if codes is None:  # published without them: those of the published panel
+        codes = category_codes(panel)
+    return Serving(panel, found["metrics_history"], features, codes, models)
 
 
 def latest_vectors(serving: Serving, panel: DataFrame | None = None) -> DataFrame:

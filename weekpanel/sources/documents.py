@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from weekpanel.functions.text import join_names
 from weekpanel.schemas import DETAIL_DOC, LIST_PAGE
@@ -11,6 +12,7 @@ from weekpanel.schemas import DETAIL_DOC, LIST_PAGE
 # Whose rating is preferred, and which crew job is counted.
 RATING_COUNTRY = "US"
 DIRECTOR = "Director"
+_CORRUPT = "_malformed"
 PLAIN_FIELDS = (
     "name", "original_name", "first_air_date", "last_air_date", "status", "type", "in_production",
     "number_of_seasons", "number_of_episodes",
@@ -18,9 +20,24 @@ PLAIN_FIELDS = (
 
 
 def read_documents(spark: SparkSession, path: str, schema: str, *, multi_line: bool = False) -> DataFrame:
-    """JSON documents, one per line or one per file; a malformed one is dropped."""
-    reader = spark.read.schema(schema).option("mode", "DROPMALFORMED")
-    return reader.option("multiLine", multi_line).json(path)
+    """JSON documents, one per line or one per file; a malformed one is dropped.
+
+    The text is parsed whole whatever columns are used later, so that the same documents are dropped each time.
+    """
+    return _parsed(spark, path, schema, multi_line).where(f"doc is not null and doc.{_CORRUPT} is null").select(
+        *[F.col(f"doc.{f.name}") for f in StructType.fromDDL(schema).fields]
+    )
+
+
+def malformed(spark: SparkSession, path: str, schema: str, *, multi_line: bool = False) -> int:
+    """How many documents ``read_documents`` drops."""
+    return _parsed(spark, path, schema, multi_line).where(f"doc is null or doc.{_CORRUPT} is not null").count()
+
+
+def _parsed(spark: SparkSession, path: str, schema: str, multi_line: bool) -> DataFrame:
+    lines = spark.read.text(path, wholetext=multi_line).where(F.trim("value") != "")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    return lines.select(F.from_json("value", f"{schema}, {_CORRUPT} string", options).alias("doc"))
 
 
 def read_list_pages(spark: SparkSession, path: str, **options) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from weekpanel.schemas import FEATURE_CONTRACT, VOCABULARY
 
@@ -21,18 +22,23 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 
 def write_run(df: DataFrame, path: str, run: Mapping[str, str]) -> None:
-    """Append one run to a run-versioned table laid out as ``run_id=.../week_start=...``."""
+    """Write one run of a run-versioned table laid out as ``run_id=.../week_start=...``; a retry replaces it."""
     keys = ("run_id", "week_start")
     marked = df.withColumns({f"_{k}": F.lit(run[k]) for k in keys}).drop(*keys)
     renamed = marked.withColumnsRenamed({f"_{k}": k for k in keys})
-    renamed.write.mode("append").partitionBy(*keys).parquet(path)
+    writer = renamed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*keys).parquet(path)
 
 
 def read_run(spark: SparkSession, path: str, run: Mapping[str, str]) -> DataFrame:
     """One run of a run-versioned table; other runs' folders are not listed into the scan."""
-    df = spark.read.option("inferSchema", False).parquet(path)
-    for k in ("run_id", "week_start"):
-        df = df.where(F.col(k).cast("string") == run[k])
+    keys = ("run_id", "week_start")
+    found = spark.read.parquet(path).schema
+    # As text: the values are names, and a run called 007 is not 7.
+    schema = StructType([StructField(f.name, StringType()) if f.name in keys else f for f in found.fields])
+    df = spark.read.schema(schema).parquet(path)
+    for k in keys:
+        df = df.where(F.col(k) == run[k])
     return df
 
 
