@@ -14,7 +14,7 @@ from weekpanel.session import cut_lineage
 from weekpanel.sources import adapters
 from weekpanel.sources.adapters import table
 
-N_GENRES, N_NETWORKS, N_TERMS = 10, 20, 40
+N_GENRES, N_NETWORKS, N_TERMS = X.TOP_GENRES, X.TOP_NETWORKS, X.TOP_TERMS
 
 
 def trends(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -313,16 +313,13 @@ def snapshot_stats(spark, sf):
 @query(
     "panel_summary",
     with_ctes(
-        "feat",
+        "panel",
         """select count(*) as n_rows, count(distinct id) as n_shows, min(week_start) as min_week, max(week_start) as max_week,
-        round(100.0 * avg(case when lag_interest_1w is null then 1 else 0 end), 6) as pct_interest_missing from feat""",
+        round(100.0 * avg(case when interest is null then 1 else 0 end), 6) as pct_interest_missing from panel""",
     ),
 )
 def panel_summary_query(spark, sf):
-    # The lag stands in for a series with missing weeks.
-    lagged = I.trends(spark, sf).withColumns(P.lag_features())
-    gaps = lagged.withColumn("interest", F.col("lag_interest_1w"))
-    return I.rounded(panel_summary(gaps), "pct_interest_missing")
+    return I.rounded(panel_summary(I.panel(spark, sf)), "pct_interest_missing")
 
 
 @query(

@@ -290,10 +290,12 @@ def interest_histogram(spark, sf):
     return K.histogram(I.trends(spark, sf), width=K.nice_width(0, 100))
 
 
-_HEALTH = (
-    "lag_interest_1w", "lag_interest_2w", "lag_interest_4w", "lag_interest_8w", "delta_interest_1w", "roll_std_4w",
-    "roll_mean_4w", "last_air_date", "status", "episode_run_time_mean", "certification", "interest", "label", "name",
-)
+# All columns of the panel.
+_COLUMNS = (
+    "id week_start interest lag_interest_1w lag_interest_2w lag_interest_4w lag_interest_8w delta_interest_1w roll_mean_4w "
+    "roll_std_4w label name original_name first_air_date last_air_date status type in_production number_of_seasons "
+    "episode_run_time_mean popularity vote_average vote_count keywords certification genres networks language"
+).split()
 
 
 @query(
@@ -304,13 +306,13 @@ _HEALTH = (
         + " union all ".join(
             f"""select '{c}' as "column", round(100.0 * avg(case when {c} is null then 1 else 0 end), 2) as missing_rate
             from panel"""
-            for c in _HEALTH
+            for c in _COLUMNS
         )
         + """) order by missing_rate desc, "column" limit 12""",
     ),
 )
 def missingness_top(spark, sf):
-    return K.missingness(I.panel(spark, sf).select(*_HEALTH))
+    return K.missingness(I.panel(spark, sf))
 
 
 @query(

@@ -76,7 +76,7 @@ select id, n_weeks, trim(unnest(string_split(genres, ','))) as token from ents""
 select id, n_weeks, trim(unnest(string_split(networks, ','))) as token from ents""",
     "top_genres": """
 select token, cast(sum(n_weeks) as bigint) as n from genre_items where token <> ''
-group by token order by n desc, token limit 10""",
+group by token order by n desc, token limit 15""",
     "top_networks": """
 select token, cast(sum(n_weeks) as bigint) as n from network_items where token <> ''
 group by token order by n desc, token limit 20""",
@@ -88,7 +88,7 @@ group by id, n_weeks, term""",
 select term, sum(tf * n_weeks) as n, sum(n_weeks) as df from kw_tf group by term""",
     "kw_vocab": """
 select term, n, df, row_number() over (order by term) - 1 as idx
-from (select * from kw_counts order by n desc, term limit 40)""",
+from (select * from kw_counts order by n desc, term limit 200)""",
     "kw_idf": """
 select term, idx, n, df, ln((1 + (select sum(n_weeks) from ents)) / (1 + df)) + 1 as idf from kw_vocab""",
     "kw_raw": "select t.id, t.term, t.tf * i.idf as raw from kw_tf t join kw_idf i on i.term = t.term",
