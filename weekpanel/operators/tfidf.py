@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from weekpanel.functions.text import tokens
 
-TERM_COUNTS = "array<struct<term:string,tf:int>>"
+# Marks a word that counts its document; no word character.
+_ONCE = "#"
 SCORES = "keywords_tfidf"
 
 
@@ -36,37 +37,22 @@ class Terms:
         return spark.createDataFrame(rows, "term string, idx int, n bigint, df bigint, idf double")
 
 
-def term_counts(df: DataFrame, text: str, out: str = "terms") -> DataFrame:
-    """Add the (term, tf) pairs of a text column: sort the words, then measure the runs."""
-    words = F.col("_sorted")
-    last = F.size("_sorted") - 1
-    run_ends = F.filter(
-        F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
-        lambda i: (i == last) | (F.get(words, i) != F.get(words, i + 1)),
-    )
-    none = F.array().cast("array<int>")
-    pairs = F.transform(
-        "_ends",
-        lambda end, j: F.struct(
-            F.get(words, end).alias("term"),
-            (end - F.coalesce(F.get(F.col("_ends"), j - 1), F.lit(-1))).alias("tf"),
-        ),
-    )
-    return (
-        df.withColumn("_sorted", F.sort_array(tokens(text)))
-        .withColumn("_ends", F.when(last < 0, none).otherwise(run_ends))
-        .withColumn(out, pairs.cast(TERM_COUNTS))
-        .drop("_sorted", "_ends")
-    )
+def corpus_counts(docs: DataFrame, text: str, weight: str | None = None) -> DataFrame:
+    """Total count and document count of every term.
 
-
-def corpus_counts(docs: DataFrame, weight: str | None = None, terms: str = "terms") -> DataFrame:
-    """Total count and document count of every term."""
+    Each text is split once. Its words are exploded for the total counts, and its distinct words, marked, for the
+    document counts; both are added up before the shuffle.
+    """
     w = F.col(weight) if weight else F.lit(1)
-    # The outer form: a plain explode adds a size filter that repeats the counting below it.
-    pairs = docs.select(F.explode_outer(terms).alias("_t"), w.cast("bigint").alias("_w"))
-    return pairs.where(F.col("_t").isNotNull()).groupBy(F.col("_t.term").alias("term")).agg(
-        F.sum(F.col("_t.tf") * F.col("_w")).alias("n"), F.sum("_w").alias("df")
+    words = docs.select(tokens(text).alias("_words"), w.cast("bigint").alias("_w"))
+    once = F.transform(F.array_distinct("_words"), lambda t: F.concat(F.lit(_ONCE), t))
+    # The outer form: a plain explode adds a size filter that repeats the splitting below it.
+    each = words.select(F.explode_outer(F.concat("_words", once)).alias("_t"), "_w").where(F.col("_t").isNotNull())
+    sums = each.groupBy("_t").agg(F.sum("_w").alias("_n"))
+    in_documents = F.col("_t").startswith(_ONCE)
+    term = F.when(in_documents, F.substring("_t", len(_ONCE) + 1, 1 << 30)).otherwise(F.col("_t"))
+    return sums.groupBy(term.alias("term")).agg(
+        F.sum(F.when(~in_documents, F.col("_n"))).alias("n"), F.sum(F.when(in_documents, F.col("_n"))).alias("df")
     )
 
 
@@ -84,7 +70,7 @@ def fit(
     """
     spark = df.sparkSession
     needed = df.select(F.col(text).alias("_text"), *([weight] if weight else []))
-    counts = corpus_counts(term_counts(needed, "_text"), weight)
+    counts = corpus_counts(needed, "_text", weight)
     if vocabulary is None:
         found = top_terms(counts, max_features).collect()
     else:
@@ -125,7 +111,8 @@ def scores_long(scored: DataFrame, fitted: Terms, id_col: str = "id", column: st
     """(id, term, score) rows of the sparse matrix."""
     if not fitted.names:
         return scored.select(id_col, F.lit("").alias("term"), F.lit(0.0).alias("score")).limit(0)
-    values = scored.select(id_col, vector_to_array(column).alias("_v"))
-    cells = values.select(id_col, F.posexplode_outer("_v").alias("_i", "score")).where(F.col("score") > 0)
     names = F.array(*[F.lit(t) for t in fitted.names])
-    return cells.select(id_col, F.get(names, F.col("_i")).alias("term"), "score")
+    cells = F.arrays_zip(names.alias("term"), vector_to_array(column).alias("score"))
+    # Zeros go before the rows are multiplied.
+    found = scored.select(id_col, F.explode_outer(F.filter(cells, lambda c: c["score"] > 0)).alias("_c"))
+    return found.where(F.col("_c").isNotNull()).select(id_col, "_c.term", "_c.score")

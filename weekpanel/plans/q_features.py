@@ -14,7 +14,7 @@ from weekpanel.operators import panel as P
 from weekpanel.operators import tfidf as T
 from weekpanel.operators.assemble import GENRES, NETWORKS
 from weekpanel.plans import inputs as I
-from weekpanel.plans.refresh import clean_entities, clean_panel
+from weekpanel.plans.refresh import clean_entities, clean_panel, refresh
 from weekpanel.plans.registry import query
 from weekpanel.plans.sql import WORD, with_ctes
 from weekpanel.session import scratch_path
@@ -339,9 +339,7 @@ def contract_columns(spark, sf):
     return panel.agg(counts.alias("_c")).select(F.explode("_c").alias("_c")).select("_c.*")
 
 
-@query(
-    "panel_clean_narrow",
-    with_ctes(
+_CLEAN_SQL =     with_ctes(
         "feat ents cert_mode group_filled overall_median genre_items top_genres network_items top_networks kw_scores",
         """, kept_genres as (
   select id, string_agg(token, ',' order by token) as kept
@@ -358,8 +356,10 @@ select f.id, f.week_start, f.interest, round(f.roll_std_4w, 6) as roll_std_4w,
 from feat f join ents e on e.id = f.id join group_filled g on g.id = f.id
 left join kept_genres kg on kg.id = f.id left join kept_networks kn on kn.id = f.id
 left join kept_terms kt on kt.id = f.id""",
-    ),
-)
+    )
+
+
+@query("panel_clean_narrow", _CLEAN_SQL)
 def panel_clean_narrow(spark, sf):
     # Same rows as the panel, which the entity join would give its metadata a second time.
     series = P.add_time_features(P.clean_trends(I.trends(spark, sf), collapse=False))
@@ -367,7 +367,19 @@ def panel_clean_narrow(spark, sf):
         I.trends(spark, sf), I.catalog(spark, sf),
         n_genres=I.N_GENRES, n_networks=I.N_NETWORKS, n_terms=I.N_TERMS,
     )
-    clean = clean_panel(series, entities)
+    return _clean_columns(clean_panel(series, entities), fitted)
+
+
+@query("refresh_clean", _CLEAN_SQL)
+def refresh_clean(spark, sf):
+    """The whole refresh up to the clean panel, which a run without training publishes nothing from."""
+    run = {"run_id": "r1", "run_date": "2024-01-03", "week_start": "2024-01-01"}
+    root = scratch_path(spark, "refresh")
+    out = refresh(spark, I.trends(spark, sf), I.catalog(spark, sf), root, run, retrain=False)
+    return _clean_columns(out["panel_clean"], out["terms"])
+
+
+def _clean_columns(clean, fitted):
     names = F.array(*[F.lit(t) for t in fitted.names])
     pairs = F.arrays_zip(names.alias("term"), vector_to_array(T.SCORES).alias("score"))
     present = F.filter(pairs, lambda p: p["score"] > 0)

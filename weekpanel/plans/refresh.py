@@ -15,7 +15,14 @@ from weekpanel.operators import model as M
 from weekpanel.operators import tfidf as T
 from weekpanel.operators.assemble import GENRES, NETWORKS, PREFIXES, Features, describe, with_vector
 from weekpanel.operators.encoding import category_codes
-from weekpanel.operators.panel import HORIZONS, add_targets, build_panel, prepare_catalog
+from weekpanel.operators.panel import (
+    HORIZONS,
+    add_targets,
+    add_time_features,
+    attach_catalog,
+    clean_trends,
+    prepare_catalog,
+)
 from weekpanel.operators.split import snapshot, time_split
 from weekpanel.session import cut_lineage
 from weekpanel.sources import publish as PB
@@ -59,9 +66,13 @@ def fitted_frame(
     *,
     purge: int = 0,
 ) -> DataFrame:
-    """Feature vectors with split and targets, ready for all horizons."""
+    """Feature vectors with split and targets, ready for all horizons.
+
+    Targets that the rows bring along are used; else they are computed here.
+    """
     targets = [f"interest_t+{h}" for h in horizons]
-    split = time_split(add_targets(clean, horizons), purge=purge)
+    known = clean if set(targets) <= set(clean.columns) else add_targets(clean, horizons)
+    split = time_split(known, purge=purge)
     return with_vector(split, spec, ["id", "week_start", "split", "cutoff_week", *targets], codes)
 
 
@@ -99,21 +110,30 @@ def refresh(
     stage = f"{root}/stages/run_id={run['run_id']}/week_start={run['week_start']}"
     write_parquet(prepare_catalog(catalog, catalog_order), f"{stage}/catalog")
     catalog = read_parquet(spark, f"{stage}/catalog")
-    built = build_panel(trends, catalog, min_week=min_week, max_week=max_week, collapse=collapse)
-    write_parquet(built, f"{stage}/panel")
-    panel = read_parquet(spark, f"{stage}/panel")
-    entities, kept, fitted = clean_entities(panel, catalog, vocabulary=vocabulary, **(sizes or {}))
-    write_parquet(clean_nonfinite(clean_panel(panel, entities)), f"{stage}/panel_clean")
+    bounds = {"min_week": min_week, "max_week": max_week, "collapse": collapse}
+    # The series with features and targets stays narrow; only the published tables carry metadata.
+    series = add_targets(add_time_features(clean_trends(trends, **bounds)), horizons)
+    write_parquet(series, f"{stage}/series")
+    series = read_parquet(spark, f"{stage}/series")
+    targets = [f"interest_t+{h}" for h in horizons]
+    panel = clean_nonfinite(attach_catalog(series.drop(*targets), catalog))
+    entities, kept, fitted = clean_entities(series, catalog, vocabulary=vocabulary, **(sizes or {}))
+    write_parquet(entities, f"{stage}/entities")
+    entities = read_parquet(spark, f"{stage}/entities")
+    write_parquet(clean_nonfinite(clean_panel(series, entities)), f"{stage}/panel_clean")
     write_vocabulary(fitted.frame(spark), f"{stage}/tfidf_vocab")
-    clean = read_parquet(spark, f"{stage}/panel_clean")
+    staged = read_parquet(spark, f"{stage}/panel_clean")
+    clean = staged.drop(*targets)
     spec = describe(clean, kept[GENRES], kept[NETWORKS], fitted.names)
     out = {"panel": panel, "panel_clean": clean, "features": spec, "terms": fitted}
     if not retrain:
         return out
 
-    codes = category_codes(clean)
+    # The categories are an entity's own, so that its rows need not be read for them.
+    write_parquet(category_codes(entities), f"{stage}/category_codes")
+    codes = read_parquet(spark, f"{stage}/category_codes")
     # Written first, so that the fits read partitions sized by data, and lost ones come back from files.
-    write_parquet(fitted_frame(clean, spec, horizons, codes, purge=purge), f"{stage}/training")
+    write_parquet(fitted_frame(staged, spec, horizons, codes, purge=purge), f"{stage}/training")
     frame = read_parquet(spark, f"{stage}/training").persist(StorageLevel.MEMORY_AND_DISK)
     records, folders = [], {}
     for family in M.FAMILIES:

@@ -34,9 +34,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` once in the reliable checkpoint folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """Materialise ``df`` once as a table in the shared folder; its readers prune columns and push filters down."""
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, n_rows: int) -> DataFrame:
