@@ -9,6 +9,8 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from weekpanel.session import clear_scratch  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark():
@@ -24,6 +26,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_scratch(session)
     session.stop()
 
 
