@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from weekpanel.operators import insights as K
 from weekpanel.operators import latest as L
 from weekpanel.operators import panel as P
+from weekpanel.operators import ranking as R
+from weekpanel.operators import split as SP
 from weekpanel.plans import inputs as I
 from weekpanel.sources import tables as ST
 
@@ -88,3 +90,22 @@ def test_no_cross_or_nested_loop_joins(spark, sf_dir):
     for df in (I.panel(spark, sf_dir), I.movers(spark, sf_dir)):
         text = plan(df)
         assert "Cartesian" not in text and "NestedLoop" not in text
+
+
+def test_late_pages_equal_early_ones(spark, monkeypatch):
+    df = spark.range(1000).withColumn("v", F.col("id") % 7)
+    order = [F.desc("v"), F.asc("id")]
+    early = [tuple(r) for r in R.page(df, order, 9, 50).orderBy("rank").collect()]
+    monkeypatch.setattr(R, "TOP_ROWS", 100)
+    assert [tuple(r) for r in R.page(df, order, 9, 50).orderBy("rank").collect()] == early
+    assert "TakeOrdered" not in plan(R.page(df, order, 9, 50))
+
+
+def test_snapshot_does_not_multiply_rows(spark, stored):
+    assert "Expand" not in plan(SP.snapshot(ST.read_parquet(spark, f"{stored}/panel"), 3))
+
+
+def test_targets_and_features_of_the_refresh_share_one_exchange(spark, stored):
+    trends = ST.read_parquet(spark, f"{stored}/trends")
+    series = P.add_targets(P.add_time_features(P.clean_trends(trends, collapse=False)))
+    assert plan(series).count("Exchange") == 1

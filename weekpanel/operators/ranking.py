@@ -11,6 +11,8 @@ from weekpanel.session import cut_lineage
 
 # Fixed value: monotonically_increasing_id keeps the row number in its low 33 bits.
 _ROW_BITS = 33
+# Up to so many rows are picked by a top-n, which ends in one task.
+TOP_ROWS = 10_000
 
 
 def global_rank(df: DataFrame, order: Sequence[Column], out: str = "rank") -> DataFrame:
@@ -45,9 +47,10 @@ def top_rank(df: DataFrame, order: Sequence[Column], n: int, out: str = "rank")
 
 
 def page(df: DataFrame, order: Sequence[Column], number: int, size: int = 50, out: str = "rank") -> DataFrame:
-    """One page of the ranked table, counted from 1."""
-    first = (number - 1) * size + 1
-    return top_rank(df, order, number * size, out).where(F.col(out) >= first)
+    """One page of the ranked table, counted from 1. Late pages come from a ranking spread over tasks."""
+    first, last = (number - 1) * size + 1, number * size
+    ranked = top_rank(df, order, last, out) if last <= TOP_ROWS else global_rank(df, order, out)
+    return ranked.where(F.col(out).between(first, last))
 
 
 def page_count(df: DataFrame, size: int = 50) -> DataFrame:

@@ -128,11 +128,14 @@ def error_metrics(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def snapshot(df: DataFrame, n_features: int, time_col: str = "week_start", id_col: str = "id") -> DataFrame:
-    """Rows, columns, features, distinct weeks and distinct entities of the training frame."""
+    """Rows, columns, features, distinct weeks and distinct entities of the training frame.
+
+    Weeks are collected, as they are as many as the calendar has; so only the entities need a distinct count.
+    """
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.lit(len(df.columns)).alias("n_cols"),
         F.lit(n_features).alias("n_features"),
-        F.countDistinct(time_col).alias("n_unique_weeks"),
+        F.size(F.collect_set(time_col)).cast("bigint").alias("n_unique_weeks"),
         F.countDistinct(id_col).alias("n_unique_shows"),
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark import StorageLevel
@@ -107,7 +108,8 @@ def refresh(
 
     Each stage is written before the next reads it, so a lost executor repeats only its own stage.
     """
-    stage = f"{root}/stages/run_id={run['run_id']}/week_start={run['week_start']}"
+    # A folder of its own for each attempt: what is published from it is never written over.
+    stage = f"{root}/stages/run_id={run['run_id']}/week_start={run['week_start']}/{uuid.uuid4().hex}"
     write_parquet(prepare_catalog(catalog, catalog_order), f"{stage}/catalog")
     catalog = read_parquet(spark, f"{stage}/catalog")
     bounds = {"min_week": min_week, "max_week": max_week, "collapse": collapse}
@@ -152,6 +154,7 @@ def refresh(
     history = PB.resolve(spark, root)["metrics_history"] if seen else None
     merged = MH.append_dedupe(history, new)
     generation = PB.publish(
-        clean, spec.names(), root, run, folders, metrics=merged, codes=codes, expected_generation=seen
+        clean, spec.names(), root, run, folders, metrics=merged, codes=codes, panel_path=f"{stage}/panel_clean",
+        expected_generation=seen,
     )
     return {**out, "codes": codes, "records": records, "generation": generation, "folders": folders}
