@@ -13,7 +13,7 @@ from weekpanel.operators import split as S
 from weekpanel.operators.insights import panel_summary
 from weekpanel.plans import inputs as I
 from weekpanel.plans.registry import query
-from weekpanel.plans.sql import with_ctes
+from weekpanel.plans.sql import CTES, with_ctes
 
 FEATURES = (
     "lag_interest_1w, lag_interest_2w, lag_interest_4w, lag_interest_8w, delta_interest_1w, "
@@ -333,3 +333,40 @@ def panel_summary_query(spark, sf):
 def eval_metrics(spark, sf):
     rows = S.target_rows(S.time_split(I.targets(spark, sf)), "roll_mean_4w")
     return I.rounded(S.error_metrics(rows, ["horizon", "split"]), "rmse", "r2")
+
+
+_FEATURES = CTES["feat"].replace("from trends", "from merged")
+
+
+@query(
+    "panel_collapsed",
+    with_ctes(
+        "trends catalog",
+        f""", raw as (
+  select id, week_start, case when (id + week(week_start)) % 9 <> 0 then interest end as interest from trends
+  union all
+  select id, week_start, interest / 4 from trends where id % 3 = 0),
+merged as (select id, week_start, avg(interest) as interest from raw group by id, week_start),
+feat as ({_FEATURES})
+select f.id, f.week_start, round(f.interest, 6) as interest, round(lag_interest_2w, 6) as lag_interest_2w,
+       round(roll_mean_4w, 6) as roll_mean_4w, round(roll_std_4w, 6) as roll_std_4w,
+       cast(coalesce(next_interest > roll_q80_8w, false) as int) as label,
+       case when c.id % 7 <> 0 and c.id % 3 < 2 then c.name else upper(c.name) end as name
+from feat f join catalog c on c.id = f.id""",
+    ),
+)
+def panel_collapsed(spark, sf):
+    """Repeated and missing weeks, and a catalog that repeats its ids: the first by ``seen`` counts, a missing one last."""
+    trends, cat = I.trends(spark, sf), I.catalog(spark, sf)
+    known = (F.col("id") + F.weekofyear("week_start")) % 9 != 0
+    gaps = trends.withColumn("interest", F.when(known, F.col("interest")))
+    again = trends.where(F.col("id") % 3 == 0).withColumn("interest", F.col("interest") / 4)
+    seen = F.when(F.col("id") % 7 != 0, (F.col("id") % 3).cast("double"))
+    twice = cat.withColumn("seen", seen).unionByName(
+        cat.withColumn("name", F.upper("name")).withColumn("seen", F.lit(1.5))
+    )
+    panel = P.build_panel(gaps.unionByName(again), twice, catalog_order=["seen"])
+    shown = panel.select(
+        "id", "week_start", "interest", "lag_interest_2w", "roll_mean_4w", "roll_std_4w", "label", "name"
+    )
+    return I.rounded(shown, "interest", "lag_interest_2w", "roll_mean_4w", "roll_std_4w")

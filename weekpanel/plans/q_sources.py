@@ -250,7 +250,7 @@ def src_resume_stream(spark, sf):
     with_ctes(
         "feat",
         """select id, week_start, interest, round(roll_mean_4w, 6) as roll_mean_4w, 'second' as run_id,
-        cast(2 as bigint) as generation, cast(8 as bigint) as n_features from feat""",
+        cast(2 as bigint) as generation, cast(8 as bigint) as n_features, true as third_refused from feat""",
     ),
 )
 def publish_manifest_read(spark, sf):
@@ -259,6 +259,11 @@ def publish_manifest_read(spark, sf):
     names = feature_columns(panel)
     for run in _RUNS:
         PB.publish(panel, names, root, {**run, "run_date": run["week_start"]})
+    refused = False
+    try:
+        PB.publish(panel.limit(0), ["none"], root, {**_RUNS[0], "run_date": "2024-01-15"}, expected_generation=1)
+    except ValueError:
+        refused = True
     found = PB.resolve(spark, root)
     return found["panel_clean"].select(
         "id",
@@ -268,4 +273,5 @@ def publish_manifest_read(spark, sf):
         F.lit(found["manifest"]["run_id"]).alias("run_id"),
         F.lit(found["manifest"]["generation"]).cast("bigint").alias("generation"),
         F.lit(len(found["feature_columns"])).cast("bigint").alias("n_features"),
+        F.lit(refused).alias("third_refused"),
     )
