@@ -15,8 +15,7 @@ ORACLE_SQL = None
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression classifier accepts (score of at least 0.3). It learns from the labelled documents
     of the stage's input."""
-    model = quality.train(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, model).where("predicted = 1").select(*docs.columns)
+    return quality.accept(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -26,7 +26,10 @@ def odd(spark):
         (7, 'token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" end', "en", "c"),
     ]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
-    clash = ("score", "fp", "id", "n_tokens", "ids", "spans", "hit_spans", "_packed", "key", "words", "host", "n_chars")
+    clash = (
+        "score", "fp", "id", "n_tokens", "ids", "spans", "hit_spans", "_packed", "key", "words", "host", "n_chars", "copy",
+        "_spans", "_cut", "_span_id", "contaminated", "predicted", "_row", "h", "c",
+    )
     return df.withColumns({c: F.lit("mine") for c in clash})
 
 

@@ -113,7 +113,8 @@ def test_decontamination_odd_tables(spark, odd, empty):
     assert {r["doc_id"] for r in decontam.find(odd, benchmark).where("contaminated").collect()} == {4}
     assert decontam.remove(odd, benchmark.where("false")).count() == odd.count()
     assert decontam.find(empty, benchmark).count() == 0
-    assert decontam.remove(odd, benchmark).columns == odd.columns
+    kept = decontam.remove(odd, benchmark)
+    assert kept.columns == odd.columns and {r["contaminated"] for r in kept.collect()} == {"mine"}
 
 
 ASSIGN = r"(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
@@ -192,6 +193,8 @@ def test_quality_odd_tables(spark, odd, empty):
     assert len(rows) == odd.count() and all(0 <= r["score"] <= 1 for r in rows)
     assert [r["held_out"] for r in rows if r["doc_id"] is None] == [False]
     assert quality.score(empty, quality.train(empty, labels.where("false"))).count() == 0
+    accepted = quality.accept(odd, model)
+    assert accepted.columns == odd.columns and {r["predicted"] for r in accepted.collect()} <= {"mine"}
     assert quality.train(odd, labels.where("false")).prior == 0.5
 
 

@@ -55,14 +55,31 @@ def py_fold(doc_id: object) -> int:
     return zlib.crc32(str(doc_id).encode()) % FOLDS
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one if the table has such a column."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name += "_"
+    return name
+
+
+def rows_where(df: DataFrame, columns: list[str], compute: Callable[[DataFrame], DataFrame], condition: str) -> DataFrame:
+    """The rows of ``df``, as they are, for which ``condition`` holds on what ``compute`` adds to the named columns.
+
+    Columns of ``df`` whose names ``compute`` uses keep their values.
+    """
+    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")
+    marked = compute(df.select(whole, *[F.col(f"`{c}`") for c in columns]))
+    return marked.where(condition).select("_row.*")
+
+
 def text_columns(
     df: DataFrame, fields: str, setup: Callable[[], object], work: Callable, text: str = "text", many: bool = False
 ) -> DataFrame:
     """Add the columns ``fields`` (DDL), which ``work(state, text)`` returns as one tuple for each text (None stays None).
 
-    With ``many``, ``work`` takes a list of texts, about ``CHUNK_CHARS`` characters at a time, and returns a list of
-    tuples. Only the text goes to Python, in Arrow batches; every other column stays where it is. ``setup`` runs once a
-    task. New columns replace columns of the same names.
+    With ``many``, ``work`` takes a list of texts, of about ``CHUNK_CHARS`` characters, and returns a list of tuples.
+    Only the text goes to Python, in Arrow batches; every other column stays where it is. ``setup`` runs once a task.
+    New columns replace columns of the same names.
     """
     schema = StructType.fromDDL(fields)
     arrow = to_arrow_type(schema)
@@ -70,19 +87,16 @@ def text_columns(
     def compute(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         state = setup()
         for batch in batches:
-            if many:
-                rows = [row for some in chunks(batch) for row in work(state, some)]
-            else:
-                rows = [work(state, t.as_py()) for t in batch]
-            columns = zip(*rows, strict=True) if rows else [()] * len(schema)
-            yield pa.StructArray.from_arrays(
-                [pa.array(c, type=f.type) for c, f in zip(columns, arrow, strict=True)], fields=list(arrow)
-            )
+            # Results leave chunk by chunk, so that a worker holds those of few texts at a time.
+            for some in chunks(batch):
+                rows = work(state, some) if many else [work(state, t) for t in some]
+                columns = zip(*rows, strict=True)
+                yield pa.StructArray.from_arrays(
+                    [pa.array(c, type=f.type) for c, f in zip(columns, arrow, strict=True)], fields=list(arrow)
+                )
 
     udf = F.arrow_udf(compute, schema)
-    packed = "_packed"
-    while packed in df.columns:
-        packed += "_"
+    packed = unused(df, "_packed")
     out = df.withColumn(packed, udf(F.col(f"`{text}`").cast("string")))
     return out.withColumns({f: F.col(f"{packed}.{f}") for f in schema.names}).drop(packed)
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import BROADCAST_BYTES, text_columns
+from .common import BROADCAST_BYTES, rows_where, text_columns
 
 WINDOW = 13
 #: A document counts as contaminated if at least one word in this many is hit.
@@ -178,4 +178,4 @@ def digests(found: DataFrame) -> DataFrame:
 
 def remove(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The documents that are not contaminated, with the columns they had."""
-    return find(docs, benchmark, text).where(~F.col("contaminated")).select(*docs.columns)
+    return rows_where(docs, [text], lambda d: find(d, benchmark, text), "not contaminated")

@@ -9,14 +9,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_hash, fold, is_held_out, py_fold, text_columns
+from .common import by_hash, fold, is_held_out, py_fold, rows_where, text_columns
 
 #: The fit takes about this many labelled documents of each label at most, chosen by the hash of their id.
-FIT_ROWS = 900
+FIT_ROWS = 1500
 #: Labelled documents of more characters take no part in the fit (they are scored whole like any other).
 FIT_CHARS = 30_000
-DICTIONARY_BYTES = 128 << 10
-LEVEL = 3
+DICTIONARY_BYTES = 512 << 10
+LEVEL = 9
 THRESHOLD = 0.3
 
 
@@ -128,3 +128,8 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     scored = text_columns(docs, "score double", lambda: Sizes(model), lambda s, t: (s.score(t),), text)
     predicted = (F.col("score") >= THRESHOLD).cast("int")
     return scored.withColumns({"held_out": is_held_out(key), "predicted": predicted})
+
+
+def accept(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents predicted to be good, with the columns they had."""
+    return rows_where(docs, [key, text], lambda d: score(d, model, key, text), "predicted = 1")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
 from ..session import scratch_path
-from .common import BROADCAST_BYTES, ascii_words
+from .common import BROADCAST_BYTES, ascii_words, unused
 
 WINDOW, GRAM = 35, 8
 PLACES = WINDOW - GRAM + 1  # grams of a window, hence places an anchor may have in it
@@ -369,11 +369,12 @@ def remove(docs: DataFrame, key: str = "doc_id", text: str = "text", shard_conte
     keyed = docs.select(as_id.alias("id"), F.xxhash64(as_text).alias("text_hash"), as_text.alias("text")).where(F.length("text") >= 2 * WINDOW - 1)
     path = scratch_path(spark, "spans")
     repeated_spans(keyed, shard_contexts).write.parquet(path)
-    spans = spark.read.parquet(path).toDF("_span_id", "_span_text", "_spans")
-    size = spans.agg(F.sum(F.octet_length("_spans") + 64)).first()[0] or 0
+    own = [unused(docs, c) for c in ("_span_id", "_span_text", "_spans", "_cut")]
+    spans = spark.read.parquet(path).toDF(*own[:3])
+    size = spans.agg(F.sum(F.octet_length(own[2]) + 64)).first()[0] or 0
     if size <= BROADCAST_BYTES:
         spans = F.broadcast(spans)
-    joined = docs.join(spans, (as_id == F.col("_span_id")) & (F.xxhash64(as_text) == F.col("_span_text")), "left")
+    joined = docs.join(spans, (as_id == F.col(own[0])) & (F.xxhash64(as_text) == F.col(own[1])), "left")
 
     @F.arrow_udf("struct<n_words: bigint, n_removed: bigint, kept: string>")
     def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -387,6 +388,6 @@ def remove(docs: DataFrame, key: str = "doc_id", text: str = "text", shard_conte
                 rows.append({"n_words": n, "n_removed": n - len(words), "kept": b" ".join(words).decode()})
             yield pa.array(rows, pa.struct([("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())]))
 
-    result = joined.withColumn("_cut", cut(as_text, F.col("_spans")))
+    result = joined.withColumn(own[3], cut(as_text, F.col(own[2])))
     names = ("n_words", "n_removed", "kept")
-    return result.select(*[F.col(f"`{c}`") for c in docs.columns if c not in names], *[F.col(f"_cut.{c}") for c in names])
+    return result.select(*[F.col(f"`{c}`") for c in docs.columns if c not in names], *[F.col(f"{own[3]}.{c}") for c in names])
