@@ -9,7 +9,7 @@ from weekpanel.operators import features as X
 from weekpanel.operators import latest as L
 from weekpanel.operators import movers as MV
 from weekpanel.operators.metrics import append_dedupe
-from weekpanel.operators.panel import add_targets, build_panel, prepare_catalog
+from weekpanel.operators.panel import add_targets, add_time_features, build_panel, clean_trends, prepare_catalog
 from weekpanel.session import cut_lineage
 from weekpanel.sources import adapters
 from weekpanel.sources.adapters import table
@@ -29,6 +29,12 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_panel(trends(spark, sf_dir), catalog(spark, sf_dir), collapse=False)
 
 
+def series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The series with its rolling mean, staged; forecasts and histories need no metadata."""
+    featured = add_time_features(clean_trends(trends(spark, sf_dir), collapse=False))
+    return cut_lineage(featured.select("id", "week_start", "interest", "roll_mean_4w"))
+
+
 def targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return add_targets(panel(spark, sf_dir))
 

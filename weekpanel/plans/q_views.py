@@ -195,9 +195,9 @@ from trends h full join forecast f on f.id = h.id and f.week_start = h.week_star
     ),
 )
 def forecast_export(spark, sf):
-    panel = I.panel(spark, sf)
-    forecast = L.naive_forecast(L.latest_per_entity(panel), P.HORIZONS)
-    return I.rounded(L.history_with_forecast(panel, forecast), "forecast")
+    series = I.series(spark, sf)
+    forecast = L.naive_forecast(L.latest_per_entity(series), P.HORIZONS)
+    return I.rounded(L.history_with_forecast(series, forecast), "forecast")
 
 
 @query(
@@ -229,9 +229,9 @@ union all select id, week_start, round(forecast, 6), 'Forecast' from forecast"""
     ),
 )
 def series_history_target(spark, sf):
-    panel = I.panel(spark, sf)
-    forecast = L.naive_forecast(L.latest_per_entity(panel), P.HORIZONS)
-    return L.labelled_series(panel, I.rounded(forecast, "forecast"))
+    series = I.series(spark, sf)
+    forecast = L.naive_forecast(L.latest_per_entity(series), P.HORIZONS)
+    return L.labelled_series(series, I.rounded(forecast, "forecast"))
 
 
 @query(
@@ -248,8 +248,9 @@ where b.week_start >= (select max(week_start) from both_series) - 182""",
     ),
 )
 def compare_entities(spark, sf):
-    panel = I.panel(spark, sf)
-    latest = L.latest_per_entity(panel)
+    needed = ("id", "week_start", "interest", "roll_mean_4w", "name", "popularity")
+    panel = cut_lineage(I.panel(spark, sf).select(*needed))
+    latest = cut_lineage(L.latest_per_entity(panel))
     forecast = I.rounded(L.naive_forecast(latest, P.HORIZONS), "forecast")
     ids = [r["id"] for r in L.catalog_top(latest, L.MAX_COMPARED).select("id").collect()]
     return L.compare_entities(panel, forecast, latest, ids)
