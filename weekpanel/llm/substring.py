@@ -8,7 +8,6 @@ shard is built where its contexts meet; contexts stream through it, and matching
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -23,7 +22,7 @@ from .common import BROADCAST_BYTES, ascii_words, unused
 
 WINDOW, GRAM = 35, 8
 PLACES = WINDOW - GRAM + 1  # grams of a window, hence places an anchor may have in it
-#: Shards of more different contexts are split by whole windows; smaller ones get an automaton.
+#: Shards of more different contexts are split by the words that windows of near places share; smaller ones get an automaton.
 SHARD_CONTEXTS = 512
 #: Bits of the table of repeated anchors: at least so many per anchor, within these bounds. It is broadcast. A fuller
 #: table lets more anchors pass; they are told apart afterwards, so that its size never changes a result.
@@ -269,12 +268,12 @@ def _context(payload: bytes) -> tuple[int, list[bytes]]:
 
 
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Masks of the contexts of each shard; rows (h, c, words) come sorted by h and c, shards are bounded."""
-    held: list[tuple[int, int, bytes]] = []
+    """Masks of the contexts of each shard; rows (shard, h, c, words) come sorted by shard and c, shards are bounded."""
+    held: list[tuple[int, int, int, bytes]] = []
 
     def done() -> list[tuple[int, int, int]]:
         masks = shard_masks([_context(w) for *_, w in held]) if len(held) > 1 else []
-        return [(h, c, m) for (h, c, _), m in zip(held, masks, strict=False) if m]
+        return [(h, c, m) for (_, h, c, _), m in zip(held, masks, strict=False) if m]
 
     def batch_of(rows: list) -> pa.RecordBatch:
         columns = list(zip(*rows, strict=True)) or [(), (), ()]
@@ -282,27 +281,59 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         out: list[tuple[int, int, int]] = []
-        for h, c, words in zip(batch["h"].to_pylist(), batch["c"].to_pylist(), batch["words"].to_pylist(), strict=True):
-            if held and held[-1][0] != h:
+        for shard, h, c, words in zip(*(batch[n].to_pylist() for n in ("shard", "h", "c", "words")), strict=True):
+            if held and held[-1][0] != shard:
                 out += done()
                 held = []
-            if not held or held[-1][1] != c:
-                held.append((h, c, words))
+            if not held or held[-1][1:3] != (h, c):
+                held.append((shard, h, c, words))
         yield batch_of(out)
     yield batch_of(done())
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each context once for either half of its places, with the hash of the words common to the windows of that half.
+
+    Contexts that share a window with its anchor in some place share these words, so they stay together.
+    """
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
     for batch in batches:
         rows = []
-        for h, c, payload in zip(batch["h"].to_pylist(), batch["c"].to_pylist(), batch["words"].to_pylist(), strict=True):
+        for h, c, low, high, payload in zip(*(batch[n].to_pylist() for n in ("h", "c", "low", "high", "words")), strict=True):
             left, words = _context(payload)
-            for i in range(len(words) - WINDOW + 1):
-                whole = hashlib.md5(b" ".join(words[i : i + WINDOW])).digest()
-                rows.append((h, c, left - i, whole))
-        columns = list(zip(*rows, strict=True)) or [(), (), (), ()]
-        types = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["h", "c", "a", "w"])
+            middle = (low + high + 1) // 2
+            for a, b in ((low, middle - 1), (middle, high)):
+                if a <= b and left >= a and left + WINDOW - len(words) <= b:
+                    core = b" ".join(words[left - a : left + WINDOW - b])
+                    shard = xxhash.xxh3_64_intdigest(core, seed=h % (1 << 64) ^ a << 8 ^ b) - (1 << 63)
+                    rows.append((shard, h, c, a, b, payload))
+        columns = list(zip(*rows, strict=True)) or [()] * 6
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x, t) for x, t in zip(columns, types, strict=True)], names=["shard", "h", "c", "low", "high", "words"]
+        )
+
+
+def _split_large(rows: DataFrame, shard_contexts: int, written: Callable) -> tuple[DataFrame, DataFrame]:
+    """Contexts (h, c, words) of large shards: (shard, h, c, words) of the shards that they fall into, and the masks
+    (h, c, mask) of those that stay large down to a single window.
+
+    The places of the anchor are halved, and contexts dealt out by the words that all windows of a half have in common.
+    Contexts alone in their part leave; parts of at most ``shard_contexts`` become shards; others are halved again. At
+    the end of five rounds a part is one window in one place, which all of its contexts then repeat.
+    """
+    schema = "shard bigint, h bigint, c bigint, low bigint, high bigint, words binary"
+    current = rows.withColumns({"low": F.lit(0).cast("bigint"), "high": F.lit(PLACES - 1).cast("bigint")})
+    small = []
+    for level in range((PLACES - 1).bit_length()):
+        dealt = written(current.select("h", "c", "low", "high", "words").mapInArrow(_halves, schema), f"halves-{level}")
+        sizes = dealt.groupBy("shard", "h").agg(F.count("*").alias("n")).where("n > 1")
+        met = dealt.join(sizes, ["shard", "h"])
+        small.append(met.where(F.col("n") <= shard_contexts).select("shard", "h", "c", "words"))
+        current = met.where(F.col("n") > shard_contexts)
+    shards = small[0]
+    for more in small[1:]:
+        shards = shards.unionByName(more)
+    return shards, current.select("h", "c", F.expr("shiftleft(1L, int(low))").alias("mask"))
 
 
 def _if_small(table: DataFrame, row_bytes: int) -> DataFrame:
@@ -341,15 +372,19 @@ def repeated_spans(docs: DataFrame, shard_contexts: int = SHARD_CONTEXTS) -> Dat
     large = written(contexts.groupBy("h").agg(F.count("*").alias("m")).where(F.col("m") > shard_contexts).select("h"), "large")
     large = _if_small(large, 16)
     known = found.where("words is not null").select("h", "c", "words")
-    routed = known.join(large, "h", "left_anti").repartition("h").sortWithinPartitions("h", "c")
-    masks = "h bigint, c bigint, mask bigint"
-    in_shards = routed.mapInArrow(_shards, masks)
-    whole = known.join(large, "h", "left_semi").mapInArrow(_windows, "h bigint, c bigint, a int, w binary").distinct()
-    again = whole.groupBy("h", "a", "w").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    in_large = whole.join(again, ["h", "a", "w"]).groupBy("h", "c").agg(F.expr("bit_or(shiftleft(1L, a))").alias("mask"))
-    # A context that occurs twice repeats in all of its windows.
-    everywhere = contexts.where("n > 1").select("h", "c", F.lit((1 << PLACES) - 1).cast("bigint").alias("mask"))
-    union = everywhere.unionByName(in_shards).unionByName(in_large).groupBy("h", "c").agg(F.expr("bit_or(mask)").alias("mask"))
+    shards = known.join(large, "h", "left_anti").select(F.col("h").alias("shard"), "h", "c", "words")
+    masks = [contexts.where("n > 1").select("h", "c", F.lit((1 << PLACES) - 1).cast("bigint").alias("mask"))]
+    if not large.isEmpty():
+        once = known.join(large, "h", "left_semi").groupBy("h", "c").agg(F.min("words").alias("words"))
+        parts, in_large = _split_large(written(once, "large-contexts"), shard_contexts, written)
+        shards = shards.unionByName(parts)
+        masks.append(in_large)
+    routed = shards.repartition("shard").sortWithinPartitions("shard", "h", "c")
+    masks.append(routed.mapInArrow(_shards, "h bigint, c bigint, mask bigint"))
+    union = masks[0]  # a context that occurs twice repeats in all of its windows
+    for more in masks[1:]:
+        union = union.unionByName(more)
+    union = union.groupBy("h", "c").agg(F.expr("bit_or(mask)").alias("mask"))
     marked = found.drop("words").join(union, ["h", "c"]).where("mask & own <> 0")
     mark = F.expr(f"shiftleft(place, {PLACES}) | (mask & own)")
     by_document = marked.groupBy("id", "text_hash").agg(F.collect_list(mark).alias("marks"))
