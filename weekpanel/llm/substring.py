@@ -384,7 +384,8 @@ def repeated_spans(docs: DataFrame, shard_contexts: int = SHARD_CONTEXTS) -> Dat
     union = masks[0]  # a context that occurs twice repeats in all of its windows
     for more in masks[1:]:
         union = union.unionByName(more)
-    union = union.groupBy("h", "c").agg(F.expr("bit_or(mask)").alias("mask"))
+    # Written, so that the join below is one of two plain tables, in which a context of very many documents can be split.
+    union = written(union.groupBy("h", "c").agg(F.expr("bit_or(mask)").alias("mask")), "masks")
     marked = found.drop("words").join(union, ["h", "c"]).where("mask & own <> 0")
     mark = F.expr(f"shiftleft(place, {PLACES}) | (mask & own)")
     by_document = marked.groupBy("id", "text_hash").agg(F.collect_list(mark).alias("marks"))
