@@ -251,3 +251,40 @@ def test_display(spark):
     words = spark.sql("select 'Dark' as keyword_readable, 12.34D as `coverage_%`, null as mean_interest_present")
     assert tuple(DS.formatted(words, DS.KEYWORD_COVERAGE).first()) == ("Dark", "12.3", "—")
     assert DS.renamed(df, DS.MOVERS).columns == ["Show", "Latest interest", "Forecast (t+1)", "Net change (t+1)"]
+
+
+def _boosted(spark, n):
+    from pyspark.ml.functions import array_to_vector
+
+    rows = spark.range(n).withColumn("x", F.pmod(F.xxhash64("id"), F.lit(997)) / 997.0)
+    rows = rows.withColumn("y", 10 * F.sin(F.col("x") * 6) + F.pmod(F.xxhash64("id", F.lit(1)), F.lit(97)) / 10.0)
+    return rows.select(
+        "id", F.lit(0).alias("week_start"), F.col("y").alias("interest_t+1"), array_to_vector(F.array("x")).alias("features"),
+        F.when(F.col("id") % 10 == 0, "val").otherwise("train").alias("split"), F.lit("w").alias("cutoff_week"),
+    )
+
+
+def test_the_second_family_runs_all_rounds_and_the_first_only_stops_on_many_rows(spark):
+    from weekpanel.operators import model as M
+
+    assert not any("validationTol" in settings for settings in M.FAMILIES.values())
+    assert [M.FAMILIES[f]["maxIter"] for f in ("hgbr", "lgbm")] == [100, 1200]
+    frame = _boosted(spark, 900)
+    for family in M.FAMILIES:
+        models, records = M.train_family(frame, family, [1], {"maxIter": 12, "maxDepth": 2})
+        assert len(models[1].treeWeights) == records[0]["n_trees"] == 12
+
+
+def test_early_stop_has_patience(spark, monkeypatch):
+    from weekpanel.operators import model as M
+
+    falling = [1 / (i + 1) for i in range(40)]
+    assert M.rounds_kept(falling) == 40 and M.rounds_kept([]) == 0
+    assert M.rounds_kept(falling + [1.0] * 9) == 49
+    assert M.rounds_kept(falling + [1.0] * 30) == 50
+    monkeypatch.setattr(M, "HELD_MORE_THAN", 500)
+    monkeypatch.setattr(M, "PATIENCE", 2)
+    models, records = M.train_family(_boosted(spark, 900), "hgbr", [1], {"maxIter": 40, "maxDepth": 2, "stepSize": 0.9})
+    n = records[0]["n_trees"]
+    assert 3 <= n < 40 and len(models[1].treeWeights) == n
+    assert M.train_family(_boosted(spark, 900), "lgbm", [1], {"maxIter": 20, "maxDepth": 2})[1][0]["n_trees"] == 20
