@@ -52,6 +52,31 @@ def test_blocks(html, text):
     assert html_extract.main_text(html, None, frozenset()) == text
 
 
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<div class='content with-sidebar'><p>One<p>Two</div><div class=sidebar>s</div>", "One\n\nTwo"),
+        ("<div id=search-results><article><p>Story</article></div><p>a long line of text that is outside", "Story\n\na long line of text that is outside"),
+        ("<div class=no-sidebar><p>ab</div><p>a much longer line than that", "ab\n\na much longer line than that"),
+        ("<div class=story><p>A whole story in plain divs</div><article>t1</article><article>t2</article>", "A whole story in plain divs\n\nt1\n\nt2"),
+        ("<div class=story><p>A whole story in plain divs</div><article>teaser</article>", "A whole story in plain divs\n\nteaser"),
+        ("<p>in <span class=search-hit>one</span> line</p>", "in one line"),
+        ("<div class=share><p>one</div><div class=legal><p>two</div>", "one\n\ntwo"),
+    ],
+)
+def test_class_words_and_teasers_take_no_article(html, text):
+    assert html_extract.main_text(html, None, frozenset()) == text
+
+
+def test_the_wrapper_decides_before_class_words(spark):
+    def page(i):
+        return f"<div class=legal><p>Case {i}</div><p>A text of page {i}, longer than the rest</p><div><p>All rights</div>"
+
+    pages = spark.createDataFrame([(f"http://h.example/{i}", page(i)) for i in range(6)], "url string, html string")
+    got = {r["text"] for r in html_extract.extract(pages).collect()}
+    assert got == {f"Case {i}\n\nA text of page {i}, longer than the rest" for i in range(6)}
+
+
 def test_constant_nodes_are_template_and_slots_content(spark):
     def page(i, extra=""):
         return f"<body><div><p>Welcome to the site</p></div><div><p>Story {i}</p><p>More {i}{extra}</p></div><div><p>Call us</p></div>"
