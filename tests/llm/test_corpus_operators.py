@@ -124,6 +124,12 @@ def test_tree_matching_by_brute_force():
             assert html_extract._score(a, b, {}) == best(a, b)
 
 
+def test_a_lone_page_of_very_many_nested_elements(spark):
+    deep = "<div>" * 4000 + "<p>core" + "</div><p>x" * 10
+    got = html_extract.extract(spark.createDataFrame([("http://deep.example/", deep)], "url string, html string")).collect()
+    assert got[0]["text"] == "\n\n".join(["core", *["x"] * 10])
+
+
 # Substring dedup
 
 
