@@ -157,6 +157,15 @@ def test_network_finds_held_out_findings_and_spares_words(spark):
     assert (p[y == 0] >= net.threshold).mean() <= 0.01
 
 
+def test_threshold_keeps_the_recall_where_findings_are_hard_to_tell():
+    rng = np.random.default_rng(3)
+    x = rng.integers(1, 98, (600, secrets.BEFORE + secrets.INSIDE + secrets.AFTER))
+    y = (np.arange(600) % 10 == 0).astype(float)
+    net = secrets.CharNet()
+    net.calibrate(x, y)
+    assert (net.probability(x[y > 0]) >= net.threshold).mean() >= secrets.RECALL
+
+
 def test_secrets_odd_rows(odd, empty):
     by_id = {r["doc_id"]: r for r in secrets.find(odd).collect()}
     assert by_id[1]["spans"] == "" and by_id[7]["n_assign"] == 1 and by_id[7]["n_hex"] == 1

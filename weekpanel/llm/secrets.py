@@ -141,7 +141,7 @@ class CharNet:
             a, b = np.array([a, b]) - 0.5 * np.linalg.solve(h + 1e-9 * np.eye(2), g)
         self.slope, self.offset = float(a), float(b)
         positive = np.sort(self.probability(x[y > 0]))
-        self.threshold = max(0.5, float(positive[int((1 - recall) * len(positive))])) if len(positive) else 1.01
+        self.threshold = float(positive[int((1 - recall) * len(positive))]) if len(positive) else 1.01
 
     def probability(self, x: np.ndarray) -> np.ndarray:
         if not len(x):
