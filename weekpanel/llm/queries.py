@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, html_extract, langid, quality, secrets, simhash, substring, token_count, topk
+from . import bpe, decontam, divergence, html_extract, langid, packing, quality, repair, secrets, simhash, substring, token_count, topk
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -135,3 +135,51 @@ from docs left join kept using (r)
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substring.remove(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op11_packing")
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    return packing.pack_documents(table(spark, sf_dir, "documents")).select(*columns)
+
+
+OP12_SQL = r"""
+with d as (
+  select row_number() over () r, coalesce(lang, '') lang, coalesce(source, '') source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') w
+  from documents),
+occurs as (select r, lang, source, unnest(w) term from d),
+counts as (select lang, source, term, count(*) n, count(distinct r) n_docs from occurs group by all),
+kept as (select lang, term, sum(n)::bigint n from counts group by lang, term having sum(n_docs) >= 10),
+size as (select lang, count(*) v, sum(n)::bigint n from kept group by lang),
+grp as (
+  select g.lang, g.source, coalesce(s.v, 0) v, coalesce(s.n, 0) lang_n, coalesce(sum(c.n), 0)::bigint n
+  from (select distinct lang, source from d) g left join size s using (lang)
+  left join (select counts.* from counts join kept using (lang, term)) c on c.lang = g.lang and c.source = g.source group by all),
+grid as (
+  select g.lang, g.source, k.term, coalesce(c.n, 0) c,
+    (1 + (1000000000::hugeint * (coalesce(c.n, 0) + 2)) // (g.n + 2 * g.v))::bigint p,
+    (1 + (1000000000::hugeint * (k.n + 2)) // (g.lang_n + 2 * g.v))::bigint q
+  from grp g join kept k using (lang) left join counts c on c.lang = g.lang and c.source = g.source and c.term = k.term),
+pairs as (
+  select a.lang, a.source, b.source item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p))::bigint f
+  from grid a join grid b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+parts as (
+  select a.lang, a.source, 'pair' part, b.source item, coalesce(f, 0) as "value"
+  from grp a join grp b on a.lang = b.lang and a.source <> b.source
+  left join pairs p on p.lang = a.lang and p.source = a.source and p.item = b.source
+  union all
+  select lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) from grid where c > 0 and p > q),
+ranked as (select *, cast(row_number() over (partition by lang, source, part order by "value" desc, item) as integer) "rank" from parts)
+select lang, source, part, item, "value", "rank" from ranked where part = 'pair' or "rank" <= 10
+"""
+
+
+@query("op12_source_audit", OP12_SQL)
+def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+@query("op13_conversation_repair")
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damage(table(spark, sf_dir, "conversations")))
