@@ -170,15 +170,15 @@ def test_refresh_end_to_end(spark, refreshed):
     assert set(schemas.METRICS_HISTORY.replace("\n", " ").split()) >= set(history.columns)
     assert history.agg(F.min("n_train"), F.max("n_train")).first() == (32 * 30, 32 * 30)
     assert MH.family_counts(history).where("n <> 2").isEmpty()
-    models = M.load_models(found["manifest"]["models"]["lgbm_dir"])
+    models = M.load_models(spark, found["manifest"]["models"]["lgbm_dir"])
     assert sorted(models) == [1, 2]
     with pytest.raises(FileNotFoundError):
-        M.load_models(f"{root}/nowhere")
+        M.load_models(spark, f"{root}/nowhere")
 
 
 def test_contributions_add_up(spark, refreshed):
     _, out, _ = refreshed
-    model = M.load_models(out["folders"]["hgbr_dir"], [1])[1]
+    model = M.load_models(spark, out["folders"]["hgbr_dir"], [1])[1]
     vectors = M.with_vector(out["panel_clean"], out["features"], ["id", "week_start"], out["codes"])
     last = vectors.where("week_start = (date'2023-01-02' + 7 * 39)")
     names = out["features"].names()
@@ -194,9 +194,9 @@ def test_contributions_add_up(spark, refreshed):
     assert important[0]["importance"] > 0 and len(important) == min(20, len(names))
 
 
-def test_forecast_is_clipped_and_complete(refreshed):
+def test_forecast_is_clipped_and_complete(spark, refreshed):
     _, out, _ = refreshed
-    models = M.load_models(out["folders"]["lgbm_dir"])
+    models = M.load_models(spark, out["folders"]["lgbm_dir"])
     last = out["panel_clean"].where("week_start = (date'2023-01-02' + 7 * 39)")
     vectors = M.with_vector(last, out["features"], ["id", "week_start"], out["codes"])
     rows = M.forecast_all(vectors, models).collect()

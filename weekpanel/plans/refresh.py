@@ -141,12 +141,12 @@ def refresh(
     for family in M.FAMILIES:
         models, found = M.train_family(frame, family, horizons, (settings or {}).get(family))
         folder = f"{PB.models_root(root, run['run_id'], run['week_start'])}/{family}"
-        M.save_models(models, folder)
+        M.save_models(spark, models, folder)
         folders[f"{family}_dir"] = folder
         records += found
     frame.unpersist()
     context = {**run, **frame_shape(clean, spec, horizons)}
-    new = MH.with_run(M.records_frame(spark, records), context).withColumn("created_utc", utc_iso())
+    new = MH.with_run(M.records_frame(spark, records).drop("n_trees"), context).withColumn("created_utc", utc_iso())
 
     for folder in folders.values():
         M.require_valid(M.validate(clean, spec, codes=codes, folder=folder))

@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weekpanel.operators import latest as L
 from weekpanel.operators import model as M
 from weekpanel.operators import movers as MV
+from weekpanel.operators import trees as T
 from weekpanel.operators.assemble import Features, from_contract, with_vector
 from weekpanel.operators.encoding import category_codes
 from weekpanel.operators.panel import HORIZONS
@@ -28,14 +28,14 @@ class Serving:
     metrics: DataFrame
     features: Features
     codes: DataFrame
-    models: Mapping[int, GBTRegressionModel]
+    models: Mapping[int, T.Ensemble]
 
 
 def load(spark: SparkSession, root: str, family: str = M.PRIMARY_FAMILY) -> Serving:
     """Follow the manifest; every reader of one manifest sees the same run."""
     found = PB.resolve(spark, root)
     panel = found["panel_clean"]
-    models = M.load_models(found["manifest"]["models"][f"{family}_dir"])
+    models = M.load_models(spark, found["manifest"]["models"][f"{family}_dir"])
     features = from_contract(found["feature_columns"])
     codes = found["category_codes"]
     if codes is None:  # published without them: those of the published panel

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +41,22 @@ def clear_scratch(spark: SparkSession) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+@contextmanager
+def configured(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
+    """Settings of the session for as long as the block runs."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` once as a table in the shared folder; its readers prune columns and push filters down."""
     path = scratch_path(df.sparkSession, "stage")
