@@ -14,6 +14,9 @@ from weekpanel.operators.insights import panel_summary
 from weekpanel.plans import inputs as I
 from weekpanel.plans.registry import query
 from weekpanel.plans.sql import CTES, with_ctes
+from weekpanel.schemas import TRENDS
+from weekpanel.session import cut_lineage, scratch_path
+from weekpanel.streaming import weekly as W
 
 FEATURES = (
     "lag_interest_1w, lag_interest_2w, lag_interest_4w, lag_interest_8w, delta_interest_1w, "
@@ -370,3 +373,32 @@ def panel_collapsed(spark, sf):
         "id", "week_start", "interest", "lag_interest_2w", "roll_mean_4w", "roll_std_4w", "label", "name"
     )
     return I.rounded(shown, "interest", "lag_interest_2w", "roll_mean_4w", "roll_std_4w")
+
+
+@query(
+    "panel_from_arrivals",
+    with_ctes(
+        "feat",
+        """select id, week_start, interest, lag_interest_1w, lag_interest_8w, delta_interest_1w,
+        round(roll_mean_4w, 6) as roll_mean_4w, round(roll_std_4w, 6) as roll_std_4w,
+        cast(coalesce(next_interest > roll_q80_8w, false) as int) as label,
+        lead(interest, 1) over w as t1, lead(interest, 4) over w as t4
+        from feat window w as (partition by id order by week_start)""",
+    ),
+)
+def panel_from_arrivals(spark, sf):
+    """The series kept up from three landings, each taken by a run of its own: old weeks, new weeks, and weeks that are
+    late. It equals what the whole table gives at once."""
+    root = scratch_path(spark, "arrivals")
+    landed, target, checkpoint = f"{root}/landed", f"{root}/target", f"{root}/checkpoint"
+    trends = cut_lineage(I.trends(spark, sf))
+    late = F.pmod(F.xxhash64("id", "week_start"), F.lit(20)) == 0
+    new = F.col("week_start") >= F.lit("2000-06-01").cast("date")
+    for part in (~late & ~new, ~late & new, late):
+        trends.where(part).write.mode("append").option("header", True).csv(landed)
+        W.update_series(spark, landed, TRENDS, target, checkpoint)
+    out = I.rounded(W.current_series(spark, target), "roll_mean_4w", "roll_std_4w")
+    return out.select(
+        "id", "week_start", "interest", "lag_interest_1w", "lag_interest_8w", "delta_interest_1w", "roll_mean_4w", "roll_std_4w", "label",
+        F.col("`interest_t+1`").alias("t1"), F.col("`interest_t+4`").alias("t4"),
+    )
