@@ -188,20 +188,24 @@ def test_audit_of_odd_and_empty_tables(odd, empty):
     assert divergence.audit(empty).count() == 0
 
 
-def test_tree_counts_shared_paths_once():
+@pytest.mark.parametrize("batches", [1, 2, 4])
+def test_tree_counts_shared_paths_once(batches):
     tree = divergence.PatternTree([("a", 100, 0), ("b", 90, 0), ("c", 80, 0)])
-    rows = [([("a", 1), ("b", 2)], 5), ([("a", 1), ("b", 2), ("c", 1)], 2), ([("a", 1), ("c", 3)], 1), ([("b", 4)], 7)]
-    for row, m in rows:
-        tree.insert(row, m)
-    found = {(s, t): d for s, t, d in tree.corrections()}
-    for s, t in (("a", "b"), ("a", "c"), ("b", "c")):
-        i, j = tree.index[s], tree.index[t]
-        want = sum(
-            m * (tree.f(tree.share(dict(row).get(s, 0), i), tree.share(dict(row).get(t, 0), j)) - tree.f(int(tree.zero[i]), int(tree.zero[j])))
-            for row, m in rows
-        )
-        assert found[s, t] == want
-    assert tree.single["a", 1] == 0 and tree.single[0, 1] == 8
+    rows = [([(0, 1), (1, 2)], 5), ([(0, 1), (1, 2), (2, 1)], 2), ([(0, 1), (2, 3)], 1), ([(1, 4)], 7)]
+    for k in range(0, 4, 4 // batches):
+        some = rows[k : k + 4 // batches]
+        flat = np.array([e for r, _ in some for e in r])
+        tree.insert(flat[:, 0], flat[:, 1], np.array([len(r) for r, _ in some]), np.array([m for _, m in some]))
+    assert tree.single == {(0, 1): 8, (1, 2): 7, (2, 1): 2, (2, 3): 1, (1, 4): 7}
+
+    def f(c, s, d, t):
+        p, q = tree.share(np.array([c, d]), np.array([s, t])).tolist()
+        return tree.f(p, q)
+
+    found = dict(zip(*(lambda a, b, v: (zip(a, b, strict=True), v))(*tree.corrections()), strict=True))
+    for s, t in ((0, 1), (0, 2), (1, 2)):
+        want = sum(m * (f(dict(row).get(s, 0), s, dict(row).get(t, 0), t) - f(0, s, 0, t)) for row, m in rows)
+        assert found["abc"[s], "abc"[t]] == want
 
 
 # --- conversation repair

@@ -18,6 +18,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +28,7 @@ from .common import BROADCAST_BYTES
 LEAST_DOCUMENTS, TOP_TERMS = 10, 10
 SCALE, SMOOTHING = 1_000_000_000, 2
 #: Terms held with their counts in a worker until they go to the shuffle.
-HELD_TERMS = 500_000
+HELD_TERMS = 1_000_000
 #: So many groups in a block; the tree is built for two blocks of groups at a time.
 BLOCK_GROUPS = 1000
 
@@ -41,17 +42,23 @@ def terms(text: str | None) -> list[bytes]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Occurrences and documents of the terms of each group, summed over as many texts as a worker holds."""
-    held: dict[tuple[str, str], tuple[Counter, Counter]] = defaultdict(lambda: (Counter(), Counter()))
+    """Occurrences of the terms of each group and their documents, summed over as many texts as a worker holds.
+
+    Documents matter by language, so that a term's go with whichever group has it first.
+    """
+    held: dict[tuple[str, str], Counter] = defaultdict(Counter)
+    in_docs: dict[str, Counter] = defaultdict(Counter)
 
     def leave() -> Iterator[pa.RecordBatch]:
-        for (lang, source), (n, n_docs) in held.items():
-            words = list(n)
+        for (lang, source), n in held.items():
+            docs = in_docs[lang]
             columns = [
-                [lang] * len(words), [source] * len(words), [w.decode() for w in words], [n[w] for w in words], [n_docs[w] for w in words],
+                pa.repeat(pa.scalar(lang), len(n)), pa.repeat(pa.scalar(source), len(n)), pa.array(list(n), pa.binary()).cast(pa.string()),
+                pa.array(np.fromiter(n.values(), np.int64, len(n))), pa.array(np.fromiter((docs.pop(w, 0) for w in n), np.int64, len(n))),
             ]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["lang", "source", "term", "n", "n_docs"])
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "source", "term", "n", "n_docs"])
         held.clear()
+        in_docs.clear()
 
     seen = 0
     for batch in batches:
@@ -59,10 +66,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = terms(text.as_py())
             if not words:
                 continue
-            n, n_docs = held[lang.as_py(), source.as_py()]
+            n = held[lang.as_py(), source.as_py()]
             before = len(n)
             n.update(words)
-            n_docs.update(set(words))
+            in_docs[lang.as_py()].update(set(words))
             seen += len(n) - before
             if seen > HELD_TERMS:
                 yield from leave()
@@ -106,100 +113,98 @@ def group_table(docs: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 class PatternTree:
-    """The frequent-pattern tree of one language's sorted rows, of which only the current path is held.
+    """The frequent-pattern tree of one language's rows, a batch of sorted rows at a time.
 
-    Rows come in order, so that a node is complete when a row leaves it; then it is corrected against each node above it,
-    once with the number of rows below. ``side`` splits the sources into two blocks, of which only pairs between the
-    blocks are summed; with one block all pairs are.
+    A row's nodes are those beyond the prefix that it shares with the row before; the rows below a node follow it until one
+    shares less. Each node is corrected once against every node above it, times the number of rows below; batches add up.
+    ``side`` splits the sources into two blocks, of which only pairs between the blocks are given; with one block all are.
     """
 
     def __init__(self, sources: list[tuple[str, int, int]]):
-        self.index = {s: i for i, (s, _, _) in enumerate(sources)}
-        self.total = [t for _, t, _ in sources]
+        self.names = [s for s, _, _ in sources]
+        self.total = np.array([t for _, t, _ in sources], np.int64)
         self.side = np.array([b for _, _, b in sources])
         self.two = len(set(self.side.tolist())) > 1
-        self.zero = np.array([self.share(0, i) for i in range(len(sources))], np.int64)
-        self.sums: dict[int, np.ndarray] = {}
+        every = np.arange(len(sources))
+        self.zero = self.share(np.zeros(len(sources), np.int64), every)
+        self.sums = np.zeros((len(sources), len(sources)), np.int64)
         self.single: Counter = Counter()
-        self.path: list[tuple[str, int]] = []
-        self.below: list[int] = []
-        self.at = np.zeros(len(sources), np.int64)
-        self.p = np.zeros(len(sources), np.int64)
 
-    def share(self, n: int, i: int) -> int:
-        return 1 + SCALE * (n + SMOOTHING) // self.total[i]
+    def share(self, n: np.ndarray, i: np.ndarray) -> np.ndarray:
+        if n.max(initial=0) >= 1 << 33:  # beyond 64 bits
+            n = n.astype(object)
+        return (1 + SCALE * (n + SMOOTHING) // self.total[i]).astype(np.int64)
 
     @staticmethod
     def f(p, q):
         # At most 10^9 + 1 each: the square stays below 2^63.
         return (p - q) * (p - q) // (p + q)
 
-    def _sums(self, i: int) -> np.ndarray:
-        if i not in self.sums:
-            self.sums[i] = np.zeros(len(self.total), np.int64)
-        return self.sums[i]
-
-    def _close(self, depth: int) -> None:
-        """Leave all nodes below ``depth``."""
-        while len(self.path) > depth:
-            k, m = len(self.path) - 1, self.below.pop()
-            _, n = self.path.pop()
-            i = int(self.at[k])
-            self.single[i, n] += m
-            if k:
-                self.below[-1] += m
-                above, p, zero = self.at[:k], self.p[:k], self.zero[i]
-                own, others = self.p[k], self.zero[above]
-                both = self.f(own, p) - self.f(own, others) - self.f(zero, p) + self.f(zero, others)
-                self._sums(i)[above] += m * both
-
-    def insert(self, row: list[tuple[str, int]], multiplicity: int) -> None:
-        shared = 0
-        while shared < min(len(row), len(self.path)) and row[shared] == self.path[shared]:
-            shared += 1
-        self._close(shared)
-        for k in range(shared, len(row)):
-            source, n = row[k]
-            self.at[k] = i = self.index[source]
-            self.p[k] = self.share(n, i)
-            self.path.append(row[k])
-            self.below.append(0)
-        if row:
-            self.below[-1] += multiplicity
-
-    def corrections(self) -> Iterator[tuple[str, str, int]]:
+    def insert(self, source: np.ndarray, n: np.ndarray, sizes: np.ndarray, multiplicity: np.ndarray) -> None:
+        """Sorted rows: ``sizes`` numbers each of (place of the source, count), one row after another."""
+        rows, longest = len(sizes), int(sizes.max(initial=0))
+        row, at = np.repeat(np.arange(rows), sizes), np.arange(len(n)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        index, count, p = (np.full((rows, longest), -1, np.int64) for _ in range(3))
+        index[row, at], count[row, at], p[row, at] = source, n, self.share(n, source)
+        same = (index[1:] == index[:-1]) & (count[1:] == count[:-1]) & (index[1:] >= 0)
+        shared = np.concatenate(([0], np.logical_and.accumulate(same, axis=1).sum(1)))
+        before = np.concatenate(([0], np.cumsum(multiplicity)))
+        for depth in range(longest):
+            leaves = np.flatnonzero(shared <= depth)  # rows that leave all nodes at this depth
+            node = leaves[sizes[leaves] > depth]
+            end = np.append(leaves, rows)[np.searchsorted(leaves, node, side="right")]
+            below = before[end] - before[node]
+            i, c, own = index[node, depth], count[node, depth], p[node, depth]
+            pairs, which = np.unique(np.stack((i, c)), axis=1, return_inverse=True)
+            sums = np.zeros(pairs.shape[1], np.int64)
+            np.add.at(sums, which.ravel(), below)
+            for a, b, m in zip(*pairs.tolist(), sums.tolist(), strict=True):
+                self.single[a, b] += m
+            if depth:
+                above, q = index[node, :depth], p[node, :depth]
+                i, own, m = i[:, None], own[:, None], below[:, None]
+                zero, other = self.zero[i], self.zero[above]
+                both = self.f(own, q) - self.f(own, other) - self.f(zero, q) + self.f(zero, other)
+                np.add.at(self.sums, (np.broadcast_to(i, above.shape), above), m * both)
+
+    def corrections(self) -> tuple[list[str], list[str], list[int]]:
         """(source, other, sum) of all pairs of different sum than at zero counts, each pair once."""
-        self._close(0)
         for (i, n), m in self.single.items():
-            p = self.share(n, i)
-            self._sums(i)[:] += m * (self.f(p, self.zero) - self.f(self.zero[i], self.zero))
-        names = list(self.index)
-        whole = np.zeros((len(names), len(names)), np.int64)
-        for i, row in self.sums.items():
-            whole[i] += row
-            whole[:, i] += row
+            p = self.share(np.array([n]), np.array([i]))
+            self.sums[i] += m * (self.f(p, self.zero) - self.f(self.zero[i], self.zero))
+        self.single.clear()
+        whole = self.sums + self.sums.T
         wanted = np.triu(whole != 0, 1)
         if self.two:
             wanted &= self.side[:, None] != self.side[None, :]
-        for i, j in zip(*np.nonzero(wanted), strict=True):
-            yield names[i], names[j], int(whole[i, j])
+        i, j = np.nonzero(wanted)
+        return [self.names[k] for k in i], [self.names[k] for k in j], whole[i, j].tolist()
 
 
 def _grow(groups: dict[str, list[tuple[str, int, int]]], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Corrections of the rows (lang, counts, multiplicity) of a task, which come sorted."""
-    lang, tree = None, None
+    lang, tree, places = None, None, None
 
     def leave() -> Iterator[pa.RecordBatch]:
-        if tree is not None and (found := list(tree.corrections())):
-            columns = [[lang] * len(found), *zip(*found, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["lang", "source", "item", "delta"])
+        if tree is not None:
+            found = tree.corrections()
+            columns = [[lang] * len(found[0]), *found]
+            kinds = (pa.string(), pa.string(), pa.string(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["lang", "source", "item", "delta"])
 
     for batch in batches:
-        for name, counts, m in zip(*(batch[c].to_pylist() for c in ("lang", "counts", "multiplicity")), strict=True):
-            if name != lang:
+        names = batch["lang"].to_pylist()
+        starts = [*(k for k in range(len(names)) if not k or names[k] != names[k - 1]), len(names)]
+        for a, b in zip(starts, starts[1:], strict=False):
+            if names[a] != lang:
                 yield from leave()
-                lang, tree = name, PatternTree(groups[name])
-            tree.insert([(c["source"], c["n"]) for c in counts], m)
+                lang, tree = names[a], PatternTree(groups[names[a]])
+                places = pa.array(tree.names, pa.string())
+            some = batch.slice(a, b - a)
+            flat = some["counts"].flatten()
+            source = pc.index_in(flat.field("source"), places).to_numpy(zero_copy_only=False)
+            sizes = pc.list_value_length(some["counts"]).to_numpy(zero_copy_only=False)
+            tree.insert(source, flat.field("n").to_numpy(), sizes, some["multiplicity"].to_numpy())
     yield from leave()
 
 
