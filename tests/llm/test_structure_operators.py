@@ -64,7 +64,7 @@ def test_ids_of_odd_strings_equal_the_library():
     ]
     texts = [rng.choice(["", " "]).join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(2000)]
     ids = packing.WordIds(tokenizer_path(packing.VOCABULARY))
-    packed = ids.encode(texts)
+    packed = [ids.encode(t) for t in texts]
     want = ids.library.encode_batch(texts, add_special_tokens=False)
     assert [np.frombuffer(p, "<u4").tolist() for p in packed] == [w.ids for w in want]
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .common import Assigned, split_special, text_columns, tokenizer_path
-from .merges import byte_alphabet, read_merges
+from .merges import byte_alphabet
 
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY, END_ID = 4096, 1
@@ -28,7 +28,8 @@ SHARD_PIECES = 65_536
 REOPEN_SHARE = 8
 #: Orders of a shard's items: above this share of the capacity longest first, below at random.
 ORDERS = (0.1, 0.5, 0)
-MEMO_CHUNKS = 400_000
+#: Runs, and pre-tokens, kept with their ids in each Python worker.
+MEMO_CHUNKS = 500_000
 KEPT_LENGTH = 64
 #: Separators that Python takes for white space, but the vocabulary's pattern does not.
 _CONTROL_SEPARATORS = regex.compile("[\x1c-\x1f]")
@@ -40,7 +41,8 @@ PLACED = "shard bigint, row bigint, sequence bigint, offset bigint, room bigint"
 class WordIds:
     """Packed ids of texts under a vocabulary file that lower-cases and drops white space, as the library gives them.
 
-    No pre-token reaches over white space, so that ids are learned once for each distinct run of other characters.
+    No pre-token reaches over white space. So the library's model sees each distinct pre-token once, and ids are kept for
+    each distinct run without white space.
     """
 
     def __init__(self, path: str):
@@ -54,22 +56,43 @@ class WordIds:
         if kinds != ["NFC", "Replace", "Lowercase"] or first["type"] != "Split" or first["behavior"] != "Removed":
             raise ValueError(f"{path} normalises or splits in another way")
         self.library = Tokenizer.from_file(path)
-        self.merges, vocab, end = read_merges(spec), spec["model"]["vocab"], spec["model"]["end_of_word_suffix"] or ""
-        chars = byte_alphabet()
-        self.byte_id = [vocab[chars[b]] for b in range(256)]
-        self.last_id = [vocab[chars[b] + end] for b in range(256)]
+        self.model = self.library.model
+        # The model takes bytes as the characters that stand for them.
+        self.alphabet = [byte_alphabet()[b] for b in range(256)]
         self.words = regex.compile(first["pattern"]["Regex"])
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.special = {t["content"]: struct.pack("<I", t["id"]) for t in spec["added_tokens"]}
         self.split = split_special(list(self.special))
         self.assigned = Assigned()
         self.memo: dict[str, bytes] = {}
-
-    def chunks(self, text: str) -> list[list[str] | bytes]:
-        """Runs without white space, in lists; special strings and parts of unassigned characters are packed ids already."""
-        out: list[list[str] | bytes] = []
+        self.word_memo: dict[str, bytes] = {}
+
+    def _word(self, word: str) -> bytes:
+        packed = self.word_memo.get(word)
+        if packed is None:
+            ids = [t.id for t in self.model.tokenize("".join(map(self.alphabet.__getitem__, word.encode())))]
+            packed = struct.pack(f"<{len(ids)}I", *ids)
+            if len(word) <= KEPT_LENGTH:
+                if len(self.word_memo) >= MEMO_CHUNKS:
+                    self.word_memo.clear()
+                self.word_memo[word] = packed
+        return packed
+
+    def _run(self, run: str) -> bytes:
+        packed = self.memo.get(run)
+        if packed is None:
+            packed = b"".join(map(self._word, self.words.findall(run)))
+            if len(run) <= KEPT_LENGTH:
+                if len(self.memo) >= MEMO_CHUNKS:
+                    self.memo.clear()
+                self.memo[run] = packed
+        return packed
+
+    def encode(self, text: str) -> bytes:
+        """Ids of a whole text as little-endian unsigned 32-bit integers."""
+        out = []
         for k, part in enumerate(self.split.split(text) if self.split else [text]):
             if k % 2:
-                out.append(struct.pack("<I", self.special[part]))
+                out.append(self.special[part])
             elif not self.assigned.all_of(part):
                 out.append(np.array(self.library.encode(part, add_special_tokens=False).ids, "<u4").tobytes())
             else:
@@ -77,45 +100,29 @@ class WordIds:
                     # Lower case is by character: no final form of sigma.
                     part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
                 part = part.lower()
-                out.append(self.words.findall(part) if _CONTROL_SEPARATORS.search(part) else part.split())
-        return out
-
-    def learn(self, chunks: list[str]) -> dict[str, bytes]:
-        first, last = self.byte_id, self.last_id
-        words = [self.words.findall(c) for c in chunks]
-        ids = [[*map(first.__getitem__, raw[:-1]), last[raw[-1]]] for some in words for w in some for raw in [w.encode()]]
-        merged = iter(self.merges.merge(ids))
-        out = {}
-        for chunk, some in zip(chunks, words, strict=True):
-            flat = [i for _ in some for i in next(merged)]
-            out[chunk] = struct.pack(f"<{len(flat)}I", *flat)
-        if len(self.memo) + len(out) > MEMO_CHUNKS:
-            self.memo.clear()
-        self.memo.update((c, p) for c, p in out.items() if len(c) <= KEPT_LENGTH)
-        return out
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of whole texts as little-endian unsigned 32-bit integers."""
-        found = [self.chunks(t) for t in texts]
-        wanted: set[str] = set()
-        for parts in found:
-            for part in parts:
-                if isinstance(part, list):
-                    wanted.update(part)
-        known = {c: p for c in wanted if (p := self.memo.get(c)) is not None}
-        known |= self.learn(list(wanted - known.keys()))
-        get = known.__getitem__
-        return [b"".join([p if isinstance(p, bytes) else b"".join(map(get, p)) for p in parts]) for parts in found]
-
-
-def _cut(capacity: int, end_id: int, ids: WordIds, texts: list[str | None]) -> list[tuple]:
-    """Lengths and checksums of the pieces of every text: its ids and the closing one, cut at the capacity."""
-    out, closing = [], struct.pack("<I", end_id)
-    for packed in ids.encode([t or "" for t in texts]):
-        whole = memoryview(packed + closing)
-        cuts = [whole[at : at + 4 * capacity] for at in range(0, len(whole), 4 * capacity)]
-        out.append(([len(c) // 4 for c in cuts], [zlib.crc32(c) for c in cuts]))
-    return out
+                runs = self.words.findall(part) if _CONTROL_SEPARATORS.search(part) else part.split()
+                packed = [*map(self.memo.get, runs)]
+                if None in packed:
+                    packed = [self._run(r) if p is None else p for r, p in zip(runs, packed, strict=True)]
+                out += packed
+        return b"".join(out)
+
+
+_KNOWN: dict[str, WordIds] = {}
+
+
+def _word_ids(path: str) -> WordIds:
+    """One for each vocabulary and worker, so that what a task has learned serves the worker's next one."""
+    if path not in _KNOWN:
+        _KNOWN[path] = WordIds(path)
+    return _KNOWN[path]
+
+
+def _cut(capacity: int, end_id: int, ids: WordIds, text: str | None) -> tuple[list[int], list[int]]:
+    """Lengths and checksums of the pieces of a text: its ids and the closing one, cut at the capacity."""
+    whole = memoryview(ids.encode(text or "") + struct.pack("<I", end_id))
+    cuts = [whole[at : at + 4 * capacity] for at in range(0, len(whole), 4 * capacity)]
+    return [len(c) // 4 for c in cuts], [zlib.crc32(c) for c in cuts]
 
 
 def pieces(
@@ -124,9 +131,9 @@ def pieces(
     """One row for each piece of each row: its columns other than the text, and ``piece``, ``start``, ``length``,
     ``ids_crc32``. Columns of these names are replaced. Null and empty texts have one piece, the closing id."""
     kept = [c for c in docs.columns if c.lower() not in ("piece", "start", "length", "ids_crc32", "_lengths", "_crcs", "_p", text.lower())]
-    setup = partial(WordIds, path or tokenizer_path(VOCABULARY))
+    setup = partial(_word_ids, path or tokenizer_path(VOCABULARY))
     fields = "_lengths array<bigint>, _crcs array<bigint>"
-    cut = text_columns(docs.select(*[F.col(f"`{c}`") for c in (*kept, text)]), fields, setup, partial(_cut, capacity, end_id), text, True)
+    cut = text_columns(docs.select(*[F.col(f"`{c}`") for c in (*kept, text)]), fields, setup, partial(_cut, capacity, end_id), text)
     own = [f"`{c}`" for c in kept]
     return cut.selectExpr(*own, "posexplode(arrays_zip(_lengths, _crcs)) as (piece, _p)").selectExpr(
         *own, "piece", f"bigint(piece) * {capacity} as start", "_p._lengths as length", "_p._crcs as ids_crc32"
