@@ -90,6 +90,87 @@ def test_of_two_publishers_one_wins_and_the_other_leaves_nothing(spark, tmp_path
     assert len([p for p in (tmp_path / "published/manifest").iterdir() if not p.name.endswith(".crc")]) == 1
 
 
+def test_of_many_creators_of_one_file_one_wins(spark, tmp_path):
+    from multiprocessing.pool import ThreadPool
+
+    with ThreadPool(8) as pool:
+        won = pool.map(lambda k: PB._create_exclusively(spark, str(tmp_path), 7, str(k)), range(24))
+    assert sum(won) == 1
+    assert (tmp_path / "manifest/generation-0000000007.json").read_text() == str(won.index(True))
+
+
+class _ObjectStore:
+    """A store whose rename replaces and is no single step; its create without overwrite is one."""
+
+    def __init__(self, inner):
+        self.inner, self.renames = inner, 0
+
+    def getScheme(self):
+        return "store"
+
+    def rename(self, *_):
+        self.renames += 1
+        raise AssertionError("publication must not depend on a rename")
+
+    def __getattr__(self, name):
+        return getattr(self.inner, name)
+
+
+def test_publication_does_without_a_rename(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "published")
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    store = _ObjectStore(path.getFileSystem(spark._jsc.hadoopConfiguration()))
+
+    def racing(generation, text):
+        target = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/manifest/generation-{generation:010d}.json")
+        return PB._put_new(spark, store, target, text)
+
+    store.mkdirs(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/manifest"))
+    assert racing(1, "first") and not racing(1, "second")
+    assert (tmp_path / "published/manifest/generation-0000000001.json").read_text() == "first" and store.renames == 0
+
+
+def test_an_unfinished_manifest_is_passed_over_and_discarded(spark, tmp_path):
+    root = str(tmp_path / "published")
+    assert PB.publish(spark.range(1), ["x"], root, RUN) == 1
+    broken = tmp_path / "published/manifest/generation-0000000002.json"
+    broken.write_text('{"generation": 2, "token": "ab')
+    assert PB.current_generation(spark, root) == 1 and PB.resolve(spark, root)["manifest"]["generation"] == 1
+    with pytest.raises(ValueError, match="meanwhile"):
+        PB.publish(spark.range(2), ["y"], root, RUN)
+    assert PB.discard_unfinished(spark, root) == []
+    assert PB.discard_unfinished(spark, root, 0) == ["generation-0000000002.json"]
+    assert PB.publish(spark.range(2), ["y"], root, RUN) == 2 and PB.discard_unfinished(spark, root, 0) == []
+
+
+def _records(spark, *rows):
+    kind = "family string, run_id string, horizon int, created_utc string, rmse_val double"
+    return spark.createDataFrame(list(rows), kind)
+
+
+def test_metrics_are_added_and_only_published_ones_are_seen(spark, tmp_path):
+    root = str(tmp_path / "published")
+
+    def publish(run_id, *rows, **more):
+        return PB.publish(spark.range(1), ["x"], root, {**RUN, "run_id": run_id}, new_metrics=_records(spark, *rows), **more)
+
+    def seen():
+        rows = PB.resolve(spark, root)["metrics_history"]
+        return sorted((r["family"], r["run_id"], r["horizon"], r["rmse_val"]) for r in rows.collect())
+
+    publish("007", ("lgbm", "007", 1, "t", 1.0), ("hgbr", "007", 1, "t", 2.0))
+    files = {p for p in (tmp_path / "published/data/metrics_log").rglob("*.parquet")}
+    # Two start from the same generation: the second is refused, and its records are never seen.
+    with pytest.raises(ValueError, match="stale"):
+        publish("9", ("lgbm", "9", 1, "t", 3.0), expected_generation=0)
+    publish("8", ("lgbm", "8", 1, "t", 4.0))
+    assert files < {p for p in (tmp_path / "published/data/metrics_log").rglob("*.parquet")}
+    assert seen() == [("hgbr", "007", 1, 2.0), ("lgbm", "007", 1, 1.0), ("lgbm", "8", 1, 4.0)]
+    publish("007", ("lgbm", "007", 1, "t", 0.5))
+    assert seen() == [("hgbr", "007", 1, 2.0), ("lgbm", "007", 1, 0.5), ("lgbm", "8", 1, 4.0)]
+
+
+
 def test_small_semantics(spark):
     one = spark.range(1)
     assert one.select(clip(F.lit(float("nan")), 0, 100)).first()[0] is None

@@ -151,10 +151,8 @@ def refresh(
     for folder in folders.values():
         M.require_valid(M.validate(clean, spec, codes=codes, folder=folder))
     seen = PB.current_generation(spark, root)
-    history = PB.resolve(spark, root)["metrics_history"] if seen else None
-    merged = MH.append_dedupe(history, new)
     generation = PB.publish(
-        clean, spec.names(), root, run, folders, metrics=merged, codes=codes, panel_path=f"{stage}/panel_clean",
+        clean, spec.names(), root, run, folders, new_metrics=new, codes=codes, panel_path=f"{stage}/panel_clean",
         expected_generation=seen,
     )
     return {**out, "codes": codes, "records": records, "generation": generation, "folders": folders}
