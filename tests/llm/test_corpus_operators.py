@@ -222,6 +222,19 @@ def test_topk_brute_force_with_ties_and_odd_vectors(spark, monkeypatch):
     assert topk.top_k(df.where("false"), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_topk_takes_vectors_of_any_finite_size(spark):
+    rows = [(0, [5e7, 1.0]), (1, [4e7, 1.0]), (2, [0.5, -1.0]), (3, [-6e9, 2.0]), (20, [1.0, 1.0]), (40, [1e200, 0.0]), (5, [-1e-3, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").withColumn("wide", F.lit("mine"))
+    got = {}
+    for r in topk.top_k(df, F.col("vec_id") % 20 == 0).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    whole = {i: [int(np.floor(64 * x)) for x in v] for i, v in rows}
+    for q in (0, 20, 40):
+        scores = ((sum(a * b for a, b in zip(whole[q], v, strict=True)), i) for i, v in whole.items() if i != q)
+        near = sorted(((min(max(s, -(1 << 63)), (1 << 63) - 1), i) for s, i in scores), key=lambda r: (-r[0], r[1]))
+        assert sorted(got[q]) == [(k + 1, i, s) for k, (s, i) in enumerate(near)]
+
+
 # SimHash
 
 
@@ -330,3 +343,21 @@ def test_pipeline_stages(spark):
         text = ids[names[4]][i]["text"]
         assert r["round_trip"] and r["text_sha256"] == hashlib.sha256(text.encode()).hexdigest()
         assert ids[names[4]][i]["n_chars"] == len(text)
+
+
+def test_one_row_of_each_group_stays_whatever_ids_repeat(spark):
+    a, b, c = ("alpha beta gamma delta " * 6).strip(), ("one two three four " * 6).strip(), ("some other words here " * 6).strip()
+    rows = [(5, a, "x"), (5, b, "x"), (3, b, "x"), (None, c, "y"), (None, c, "x"), (9, "", "x"), (8, None, "z"), (8, None, "y"), (7, c + " end of it all", "x")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string").withColumn("_hash", F.lit("mine"))
+    kept = [tuple(r)[:2] for r in simhash.keep_one(df).collect()]
+    # Null and empty texts are one group; the text with a tail of its own is not a copy.
+    assert sorted(kept, key=repr) == sorted([(5, a), (3, b), (None, c), (8, None), (7, c + " end of it all")], key=repr)
+    assert simhash.keep_one(df).columns == df.columns
+    assert simhash.keep_one(df.where("false")).count() == 0
+
+
+def test_copies_without_ids_are_one_set_of_marks(spark):
+    text = " ".join(f"w{i}" for i in range(80))
+    df = spark.range(300).select(F.lit(None).cast("bigint").alias("doc_id"), F.lit(text).alias("text"))
+    out = substring.remove(df).select("n_words", "n_removed", "kept").distinct().collect()
+    assert [tuple(r) for r in out] == [(80, 80, "")]

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -207,6 +209,21 @@ def test_quality_odd_tables(spark, odd, empty):
     assert quality.train(odd, labels.where("false")).prior == 0.5
 
 
+def test_long_candidates_are_judged_whole():
+    net = secrets.CharNet(seed=3)
+    rng = np.random.default_rng(2)
+    for n in (41, 90, 3000, 9000):
+        text = "see " + "".join(rng.choice(list("abcdef0123456789XYZ"), n)) + " end"
+        x = secrets.encode([secrets.window(text, 4, 4 + n, None)])
+        assert x.shape == (1, secrets.BEFORE + n + secrets.AFTER)
+        assert net.judge(text, [(4, 4 + n)]) == pytest.approx(net.probability(x))
+    # What tells may stand behind the first characters: the head alone is another input.
+    a, b = "a1" * 30, "a1" * 20 + "Zq9+/" * 4
+    assert net.judge(a, [(0, 60)]) != pytest.approx(net.judge(b, [(0, 60)]))
+    short = net.judge("x token1234567890ab y", [(2, 19)])
+    assert short == pytest.approx(net.probability(secrets.encode([secrets.window("x token1234567890ab y", 2, 19)])))
+
+
 def test_langid_held_out(spark):
     rows = QUERIES["op8_langid"](spark, "/root/testdata/sf0.1").collect()
     truth = {r["doc_id"]: r for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").collect()}
@@ -221,10 +238,30 @@ def test_langid_distance_by_hand():
     assert judge.judge("aa aa ab")[0] == "x" and judge.judge("bb")[0] == "y"
     assert judge.judge("123 !?") == ("und", 0.0) and judge.judge(None) == ("und", 0.0)
     profile = judge.p
-    own = langid.top(langid.grams(judge.table[langid.points("aa ab")], profile.base))
-    rank = {g: i for i, g in enumerate(own.tolist())}
-    far = [sum(abs(int(profile.ranks[k, g]) - i) for g, i in rank.items()) for k in range(2)]
-    assert far[0] < far[1]
+    cp = langid.points("aa ab")
+    own = langid.top(langid.grams(np.where(judge.alpha[cp], cp, 0)))
+    known = [dict(zip(g.tolist(), r.tolist(), strict=True)) for g, r in zip(profile.grams, profile.ranks, strict=True)]
+    far = [sum(abs(known[k].get(g, langid.RANKS) - i) for i, g in enumerate(own.tolist())) for k in range(2)]
+    assert far[0] < far[1] and far == [judge.distance(k, own) for k in range(2)]
+    # By hand: the grams of "aa ab" with their counts, and the profiles' ranks.
+    count = Counter(g for w in ("aa", "ab") for n in (1, 2, 3) for p in [f" {w} "] for g in (p[i : i + n] for i in range(len(p) - n + 1)) if g != " ")
+    number = {g: sum(langid.BASE**k for k in range(1, len(g))) + functools.reduce(lambda a, c: a * langid.BASE + (ord(c) if c != " " else 0), g, 0) for g in count}
+    assert own.tolist() == [number[g] for g in sorted(count, key=lambda g: (-count[g], number[g]))]
+
+
+def test_langid_tells_large_scripts_apart():
+    """Two languages without a common character, each of some thousand letters, both beyond any small alphabet."""
+    rng = np.random.default_rng(4)
+    scripts = {"ka": range(0x4E00, 0x4E00 + 1500), "kb": range(0x8000, 0x8000 + 1500), "la": range(ord("a"), ord("z") + 1)}
+
+    def text(lang: str) -> str:
+        letters = np.array(scripts[lang])
+        return " ".join("".join(map(chr, rng.choice(letters[: 60 if len(letters) > 60 else 26], 3))) for _ in range(60))
+
+    counts = {lang: Counter(" ".join(text(lang) for _ in range(60)).split()) for lang in scripts}
+    judge = langid.Judge(langid.build(counts))
+    assert all(judge.judge(text(lang))[0] == lang for lang in scripts for _ in range(60))
+    assert all(len(g) == langid.RANKS for g in judge.p.grams)
 
 
 def test_langid_odd_tables(odd, empty):

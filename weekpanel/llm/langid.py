@@ -18,21 +18,16 @@ RANKS = 300
 FIT_ROWS = 400
 #: Documents of more characters take no part in the fit (they are judged whole like any other).
 FIT_CHARS = 50_000
-#: Letters with a code of their own, commonest first; every other letter shares the last code.
-LETTERS = 120
 UNKNOWN = "und"
+#: Letters are numbered by their code points. With three of them a gram's number stays below 2^61.
+BASE = 0x110001
 
 
 @dataclass
 class Profiles:
     langs: list[str]
-    letters: np.ndarray  # code points, ascending
-    codes: np.ndarray  # their codes, from 1
-    ranks: np.ndarray  # languages x n-gram codes: rank, or RANKS if it is not in the profile
-
-    @property
-    def base(self) -> int:
-        return LETTERS + 2
+    grams: list[np.ndarray]  # of each language: its n-gram numbers, ascending
+    ranks: list[np.ndarray]  # their ranks
 
 
 def points(text: str) -> np.ndarray:
@@ -44,18 +39,18 @@ def letter_table() -> np.ndarray:
     return np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
 
 
-def grams(letters: np.ndarray, base: int) -> np.ndarray:
-    """Codes of all 1-, 2- and 3-grams of a text in letter codes; 0 stands between words, single zeros are no gram."""
+def grams(letters: np.ndarray) -> np.ndarray:
+    """Numbers of all 1-, 2- and 3-grams of a text in letters; 0 stands between words, single zeros are no gram."""
     if not len(letters):
-        return np.zeros(0, np.int32)
-    padded = np.concatenate(([0], letters, [0])).astype(np.int32)
+        return np.zeros(0, np.int64)
+    padded = np.concatenate(([0], letters, [0])).astype(np.int64)
     keep = np.ones(len(padded), bool)
     keep[1:] = (padded[1:] > 0) | (padded[:-1] > 0)  # white space of any length counts once
     x = padded[keep]
-    two = x[:-1] * base + x[1:]
-    three = two[:-1] * base + x[2:]
+    two = x[:-1] * BASE + x[1:]
+    three = two[:-1] * BASE + x[2:]
     # Grams don't reach over a word's end.
-    return np.concatenate((x[x > 0], base + two, base + base * base + three[x[1:-1] > 0]))
+    return np.concatenate((x[x > 0], BASE + two, BASE + BASE * BASE + three[x[1:-1] > 0]))
 
 
 def top(codes: np.ndarray, k: int = RANKS) -> np.ndarray:
@@ -71,21 +66,18 @@ class Judge:
     def __init__(self, profiles: Profiles):
         self.p = profiles
         self.alpha = letter_table()
-        table = np.where(self.alpha, LETTERS + 1, 0).astype(np.int32)
-        table[profiles.letters] = profiles.codes
-        self.table = table
 
     def judge(self, text: str | None) -> tuple[str, float]:
         """The language and a score: how much nearer it is than the next, against the largest distance possible."""
         if not text or not self.p.langs:
             return UNKNOWN, 0.0
         cp = points(text)
-        coded = self.table[cp]
+        letters = np.where(self.alpha[cp], cp, 0)
         # Lower case may make a letter of none, never the other way round; the contract asks for the text itself.
-        if not coded.any() or not any(map(str.isalpha, text)):
+        if not letters.any() or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0
-        own = top(grams(coded, self.p.base))
-        far = np.abs(self.p.ranks[:, own] - np.arange(len(own), dtype=np.int32)).sum(1)
+        own = top(grams(letters))
+        far = np.array([self.distance(k, own) for k in range(len(self.p.langs))])
         order = np.argsort(far, kind="stable")
         near = far[order[0]]
         if len(order) == 1:
@@ -93,29 +85,28 @@ class Judge:
         second = max(1, far[order[1]])
         return self.p.langs[order[0]], float(min(1.0, 0.5 + 0.5 * (second - near) / second))
 
+    def distance(self, k: int, own: np.ndarray) -> int:
+        """Out-of-place distance of a language's profile: a gram that it lacks counts as of the rank after its last."""
+        known, ranks = self.p.grams[k], self.p.ranks[k]
+        at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+        theirs = np.where(known[at] == own, ranks[at], RANKS) if len(known) else np.full(len(own), RANKS)
+        return int(np.abs(theirs - np.arange(len(own))).sum())
+
 
 def build(counts: dict[str, dict[str, int]]) -> Profiles:
     """Profiles from the frequencies of words (letters only, lower case) of each language."""
     langs = sorted(counts)
-    seen: dict[str, int] = {}
-    for words in counts.values():
-        for w, n in words.items():
-            for c in w:
-                seen[c] = seen.get(c, 0) + n
-    commonest = sorted(seen, key=lambda c: (-seen[c], c))[:LETTERS]
-    letters = np.array(sorted(map(ord, commonest)), np.int64)
-    codes = np.arange(1, len(letters) + 1, dtype=np.int32)
-    known = dict(zip(letters.tolist(), codes.tolist(), strict=True))
-    base = LETTERS + 2
-    ranks = np.full((max(1, len(langs)), base + base**2 + base**3), RANKS, np.int16)
-    for row, lang in enumerate(langs):
+    out = Profiles(langs, [], [])
+    for lang in langs:
         total: dict[int, int] = {}
         for w, n in counts[lang].items():
-            for g in grams(np.array([known.get(ord(c), LETTERS + 1) for c in w], np.int32), base).tolist():
+            for g in grams(points(w)).tolist():
                 total[g] = total.get(g, 0) + n
-        best = sorted(total, key=lambda g: (-total[g], g))[:RANKS]
-        ranks[row, best] = np.arange(len(best))
-    return Profiles(langs, letters, codes, ranks.astype(np.int32))
+        best = np.array(sorted(total, key=lambda g: (-total[g], g))[:RANKS], np.int64)
+        order = np.argsort(best)
+        out.grams.append(best[order])
+        out.ranks.append(order.astype(np.int64))
+    return out
 
 
 def sample_counts(docs: DataFrame, key: str, text: str, lang: str, rows: int) -> dict[str, dict[str, int]]:
@@ -151,8 +142,9 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
 def identify(docs: DataFrame, profiles: Profiles, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Add ``held_out``, ``lang_pred`` and ``score`` to every document; columns of these names are replaced.
 
-    ``und`` with score 0 stands for null texts, texts without a letter, and for all where nothing was learned. Ties in
-    distance go to the language first in the alphabet.
+    ``und`` with score 0 stands for null and empty texts, texts without a letter, and for all where nothing was learned.
+    Ties in distance go to the language first in the alphabet. Letters of any script count; a profile is 300 numbers for
+    each language. Repeated rows are judged each, very long texts whole, in memory of some 50 bytes a character.
     """
     sent = docs.sparkSession.sparkContext.broadcast(profiles)
     judged = text_columns(docs, "lang_pred string, score double", lambda: Judge(sent.value), lambda j, t: j.judge(t), text)

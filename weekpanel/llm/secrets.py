@@ -27,7 +27,10 @@ ASSIGN_LENGTH, ACCESS_LENGTH = 6, 20
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
 _DIGIT, _LETTER = re.compile("[0-9]"), re.compile("[A-Za-z]")
 
+#: Context characters before and after a candidate; shorter candidates are padded. Training windows have this many inside.
 BEFORE, INSIDE, AFTER = 16, 40, 8
+#: Positions of a long candidate that are convolved at a time.
+LONG_POSITIONS = 4096
 #: Fit sample: at most about so many documents that hold a base finding, and so many others, chosen by the hash of their id.
 FIT_ROWS = 600
 #: Documents of more characters than this take no part in the fit (they are scanned like any other).
@@ -55,16 +58,19 @@ def candidates(text: str) -> list[tuple[int, int]]:
     return [m.span() for m in CANDIDATE.finditer(text) if _DIGIT.search(m.group()) and _LETTER.search(m.group())]
 
 
-def window(text: str, start: int, end: int) -> str:
-    """Context before, the head of the candidate, context after: a string of fixed length."""
+def window(text: str, start: int, end: int, inside: int | None = INSIDE) -> str:
+    """Context before, the candidate, context after. With ``inside`` its head of so many characters, for training in
+    windows of one length; else the whole of it."""
     before = text[max(0, start - BEFORE) : start].rjust(BEFORE, "\0")
     after = text[end : end + AFTER].ljust(AFTER, "\0")
-    return before + text[start : min(end, start + INSIDE)].ljust(INSIDE, "\0") + after
+    stop = end if inside is None else min(end, start + inside)
+    return before + text[start:stop].ljust(INSIDE, "\0") + after
 
 
 def encode(windows: list[str]) -> np.ndarray:
     """Printable ASCII has a class each, white space one, the padding one, everything else one."""
-    points = np.array([[ord(c) for c in w] for w in windows], np.int64).reshape(len(windows), BEFORE + INSIDE + AFTER)
+    width = len(windows[0]) if windows else BEFORE + INSIDE + AFTER
+    points = np.array([[ord(c) for c in w] for w in windows], np.int64).reshape(len(windows), width)
     out = np.full(points.shape, 97, np.int64)
     printable = (points > 32) & (points < 127)
     out[printable] = points[printable] - 32
@@ -143,10 +149,31 @@ class CharNet:
         positive = np.sort(self.probability(x[y > 0]))
         self.threshold = float(positive[int((1 - recall) * len(positive))]) if len(positive) else 1.01
 
+    def long_logit(self, x: np.ndarray) -> float:
+        """The output for one window of any length: the maximum over positions is taken a part at a time."""
+        best = np.zeros(self.FILTERS)  # the activation cuts off below
+        for at in range(0, len(x) - self.WIDTH + 1, LONG_POSITIONS):
+            e = self.p["embed"][x[at : at + LONG_POSITIONS + self.WIDTH - 1]]
+            n = len(e) - self.WIDTH + 1
+            cols = np.concatenate([e[j : j + n] for j in range(self.WIDTH)], axis=1)
+            best = np.maximum(best, (cols @ self.p["conv"] + self.p["bias"]).max(0))
+        return float(best @ self.p["out"][:, 0] + self.p["shift"][0])
+
+    def calibrated(self, logit: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.slope * logit + self.offset, -30, 30)))
+
     def probability(self, x: np.ndarray) -> np.ndarray:
-        if not len(x):
-            return np.zeros(0)
-        return 1 / (1 + np.exp(-np.clip(self.slope * self.forward(x)[0] + self.offset, -30, 30)))
+        return self.calibrated(self.forward(x)[0]) if len(x) else np.zeros(0)
+
+    def judge(self, text: str, spans: list[tuple[int, int]]) -> np.ndarray:
+        """Probabilities of the candidates of a text, whole ones whatever their length."""
+        long = np.array([b - a > INSIDE for a, b in spans], bool)
+        out = np.zeros(len(spans))
+        out[~long] = self.probability(encode([window(text, a, b) for (a, b), far in zip(spans, long, strict=True) if not far]))
+        out[long] = self.calibrated(
+            np.array([self.long_logit(encode([window(text, a, b, None)])[0]) for (a, b), far in zip(spans, long, strict=True) if far])
+        )
+        return out
 
 
 def labelled(text: str) -> list[tuple[str, int]]:
@@ -228,7 +255,7 @@ def scan(net: CharNet | None, text: str | None) -> list[tuple[int, int, int]]:
     rest = [(a, b) for a, b in candidates(text) if not any(s < b and a < e for s, _, e in base)]
     if not rest:
         return base
-    p = net.probability(encode([window(text, a, b) for a, b in rest]))
+    p = net.judge(text, rest)
     return sorted(base + [(a, 3, b) for (a, b), q in zip(rest, p, strict=True) if q >= net.threshold])
 
 
@@ -258,7 +285,8 @@ def find(docs: DataFrame, text: str = "text", key: str = "doc_id", net: CharNet
     """Add ``n_assign``, ``n_access``, ``n_hex``, ``base_sha256`` and ``spans``; columns of these names are replaced.
 
     Null and empty texts have none. A table without any labelled finding has base spans only. The network is fitted once
-    on a bounded sample (``FIT_ROWS``); it weighs some 20 kB in each task.
+    on a bounded sample (``FIT_ROWS``); it weighs some 20 kB in each task. Repeated rows are scanned each. Texts are scanned
+    whole and candidates judged whole, however long; an empty table stays empty.
     """
     net = net or fit(docs, key, text)
     fields = "n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string"
@@ -266,7 +294,8 @@ def find(docs: DataFrame, text: str = "text", key: str = "doc_id", net: CharNet
 
 
 def redact(docs: DataFrame, text: str = "text", key: str = "doc_id", mark: str = "[SECRET]", net: CharNet | None = None) -> DataFrame:
-    """The same columns, with every found span of the text replaced by ``mark``; null texts stay null."""
+    """The same columns, with every found span of the text replaced by ``mark``; null texts stay null, repeated rows stay,
+    an empty table stays empty."""
     net = net or fit(docs, key, text)
     return text_columns(docs, f"`{text}` string", lambda: net, partial(_redact, mark), text).select(*docs.columns)
 

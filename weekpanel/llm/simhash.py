@@ -10,8 +10,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
-from .common import BROADCAST_BYTES, lower_ascii, text_columns
+from ..session import cut_lineage, scratch_path
+from .common import BROADCAST_BYTES, lower_ascii, text_columns, unused
 
 SHINGLE, SEED, DISTANCE = 3, 42, 2
 #: Pairs that differ in at most two of four 16-bit blocks share the other two; these are the keys of a first bucket.
@@ -223,33 +223,54 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     ``component_id`` is the smallest id reachable over links of at most two differing bits; repeated ids and rows stay.
     Rows with a null id take part; they get the smallest other id they reach, or null. All texts without words have
-    fingerprint 0 and are linked like any other. An empty table gives no rows.
+    fingerprint 0 and are linked like any other. Very long texts are hashed in portions. An empty table gives no rows.
     """
-    spark = docs.sparkSession
-    path = scratch_path(spark, "fingerprints")
-    fingerprints(docs.select(F.col(key).alias("id"), F.col(text).alias("text"))).select("id", "fp").write.parquet(path)
-    marked = spark.read.parquet(path)
+    marked = cut_lineage(fingerprints(docs.select(F.col(key).alias("id"), F.col(text).alias("text"))).select("id", "fp"))
     classes = marked.groupBy("fp").agg(F.min("id").alias("low"))
-    roots = components(links(classes.select("fp")))
-    rooted = classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
+    rooted = with_root(classes)
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
     named = rooted.select("fp", "root").join(lowest, "root").select("fp", "component_id")
     return marked.join(named, "fp").select(F.col("id").alias(key), "fp", "component_id")
 
 
+def with_root(classes: DataFrame) -> DataFrame:
+    """Add ``root``, one of its fingerprints, to distinct fingerprints ``fp``: the same for all of a component."""
+    roots = components(links(classes.select("fp")))
+    return classes.join(roots, classes["fp"] == roots["node"], "left").select(*[classes[c] for c in classes.columns], F.coalesce("root", "fp").alias("root"))
+
+
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each group: the row whose id names the component. Repeated rows of one id count as one.
+    """One row of each group: that of the least id, known ids first, and of the least text hash among rows of one id.
 
-    Rows with a null id stay. The ids to leave out are broadcast while they fit ``BROADCAST_BYTES``, else joined.
+    Rows of the same id and text are one document, null ids too; of such rows the one is kept whose other columns hash
+    least. So every group keeps exactly one row, whatever ids repeat. Null and empty texts are a group like any other; an
+    empty table stays empty. What must go is broadcast while it fits ``BROADCAST_BYTES``, else joined.
     """
-    marked = near_duplicates(docs, key, text)
-    path = scratch_path(docs.sparkSession, "copies")
-    marked.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("copy")).distinct().write.parquet(path)
-    copies = docs.sparkSession.read.parquet(path)
-    if copies.count() * 16 <= BROADCAST_BYTES:
-        copies = F.broadcast(copies)
-    kept = docs.join(copies, docs[key] == copies["copy"], "left_anti")
-    repeated = marked.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").limit(1).count()
-    if not repeated:
+    named = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
+    marked = cut_lineage(fingerprints(named.withColumn("text_hash", F.xxhash64("text"))).select("id", "text_hash", "fp"))
+    document = F.struct(F.col("id").isNull().alias("unknown"), "id", "text_hash")
+    # The least document of each fingerprint, then of each component: no group of copies is ever in one place.
+    least = with_root(marked.groupBy("fp").agg(F.min(document).alias("d")))
+    chosen = least.groupBy("root").agg(F.min("d").alias("d")).select("d.id", "d.text_hash")
+    counted = marked.groupBy("id", "text_hash").agg(F.count("*").alias("n"))
+    same = F.col("a.id").eqNullSafe(F.col("b.id")) & F.col("a.text_hash").eqNullSafe(F.col("b.text_hash"))
+    known = counted.alias("a").join(chosen.withColumn("kept", F.lit(True)).alias("b"), same, "left")
+    fate = cut_lineage(known.select("a.id", "a.text_hash", "a.n", F.col("b.kept").isNotNull().alias("kept")).where("not kept or n > 1"))
+    own = [unused(docs, c) for c in ("_key", "_hash", "_rank")]
+    as_key, as_hash = F.col(f"`{key}`"), F.xxhash64(F.col(f"`{text}`").cast("string"))
+
+    def matched(df: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+        rows = rows.select(F.col("id").alias(own[0]), F.col("text_hash").alias(own[1]))
+        if rows.count() * 24 <= BROADCAST_BYTES:
+            rows = F.broadcast(rows)
+        return df.join(rows, as_key.eqNullSafe(F.col(own[0])) & (as_hash == F.col(own[1])), how)
+
+    kept = matched(docs, fate.where("not kept"), "left_anti")
+    repeated = fate.where("kept")
+    if repeated.isEmpty():
         return kept
-    return kept.where(F.col(key).isNotNull()).dropDuplicates([key]).unionByName(kept.where(F.col(key).isNull()))
+    # Equal rows meet in one aggregate, reduced in each task before they move.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    order = F.xxhash64(F.to_json(row))
+    one = matched(kept, repeated, "left_semi").groupBy(as_key.alias(own[0]), as_hash.alias(own[1])).agg(F.min_by(row, order).alias(own[2]))
+    return matched(kept, repeated, "left_anti").unionByName(one.select(f"{own[2]}.*"))

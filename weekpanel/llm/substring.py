@@ -388,7 +388,8 @@ def repeated_spans(docs: DataFrame, shard_contexts: int = SHARD_CONTEXTS) -> Dat
     union = written(union.groupBy("h", "c").agg(F.expr("bit_or(mask)").alias("mask")), "masks")
     marked = found.drop("words").join(union, ["h", "c"]).where("mask & own <> 0")
     mark = F.expr(f"shiftleft(place, {PLACES}) | (mask & own)")
-    by_document = marked.groupBy("id", "text_hash").agg(F.collect_list(mark).alias("marks"))
+    # A set: rows of one id and text have the same marks, however many there are, so that it is bounded by the text.
+    by_document = marked.groupBy("id", "text_hash").agg(F.collect_set(mark).alias("marks"))
     return by_document.select("id", "text_hash", F.arrow_udf(_packed_spans, BinaryType())("marks").alias("spans"))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,8 +14,10 @@ K, SCALE = 20, 64
 #: Rows of one index block, and queries that are broadcast at a time.
 BLOCK_ROWS = 65_536
 QUERY_ROWS = 20_000
-#: Quantised components beyond this size count as not finite.
+#: Vectors with a quantised component beyond this size are compared in whole numbers of any length, without slices.
 LARGEST = 1 << 31
+#: Scores beyond 64 bits are given as the nearest number of 64 bits.
+LEAST_SCORE, GREATEST_SCORE = -(1 << 63), (1 << 63) - 1
 
 
 class BitSlices:
@@ -94,32 +97,61 @@ class BitSlices:
         return np.flatnonzero(np.unpackbits(bitmap.view(np.uint8), bitorder="little"))
 
 
+class WideRows:
+    """Rows of which some component is too large for the slices: compared one by one."""
+
+    def __init__(self, ids: list[int], values: list[list[int]]):
+        order = sorted(range(len(ids)), key=lambda i: (ids[i], values[i]))
+        self.ids, self.values = np.array([ids[i] for i in order], np.int64), np.array([values[i] for i in order], object)
+        self.dims = self.values.shape[1]
+
+
+def best_rows(index: BitSlices | WideRows, query: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
+    """(id, score) of the k best rows of a block: by its slices, or in long numbers where the block or the query is wide."""
+    if isinstance(index, BitSlices) and query.dtype != object:
+        return index.top(query, own, k)
+    scores = (index.values.astype(object) @ query.astype(object)).tolist()
+    rows = ((min(max(s, LEAST_SCORE), GREATEST_SCORE), i) for s, i in zip(scores, index.ids.tolist(), strict=True) if i != own)
+    return [(i, s) for s, i in heapq.nsmallest(k, rows, key=lambda r: (-r[0], r[1]))]
+
+
+def _floor(x: Column) -> Column:
+    """The floor as a double. Beyond 2^52 a double is whole already, and its floor may not fit 64 bits."""
+    return F.when(F.abs(x) < float(1 << 52), F.floor(x).cast("double")).otherwise(x)
+
+
 def quantised(vector: Column) -> Column:
-    return F.transform(vector, lambda x: F.floor(x.cast("double") * SCALE).cast("bigint"))
+    """floor(64 x) of each component: exact as a double, whatever its size."""
+    return F.transform(vector, lambda x: _floor(x.cast("double") * SCALE))
 
 
 def usable(df: DataFrame, key: str, vector: str) -> DataFrame:
-    """(id, v): quantised vectors without null, non-finite or oversized components; null ids and vectors are left out."""
-    fine = lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) * SCALE < LARGEST)
+    """(id, v, wide): quantised vectors without null or non-finite components; null ids and vectors are left out. ``wide``
+    ones have a component too large for the slices."""
+    fine = lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) * SCALE < float("inf"))
     whole = F.col(vector).isNotNull() & F.col(key).isNotNull() & F.forall(F.col(vector), fine) & (F.size(vector) > 0)
-    return df.where(whole).select(F.col(key).cast("bigint").alias("id"), quantised(F.col(vector)).alias("v"))
+    rows = df.where(whole).select(F.col(key).cast("bigint").alias("id"), quantised(F.col(vector)).alias("v"))
+    return rows.withColumn("wide", F.exists("v", lambda x: F.abs(x) >= LARGEST))
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[BitSlices]:
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[BitSlices | WideRows]:
     """Blocks of at most ``BLOCK_ROWS`` rows of one dimension each."""
-    held: dict[int, list[tuple[int, list[int]]]] = {}
+    held: dict[tuple[int, bool], list[tuple[int, list[float]]]] = {}
 
-    def block(rows: list) -> BitSlices:
-        return BitSlices(np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64))
+    def block(wide: bool, rows: list) -> BitSlices | WideRows:
+        if wide:
+            return WideRows([r[0] for r in rows], [[int(x) for x in r[1]] for r in rows])
+        return BitSlices(np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], float).astype(np.int64))
 
     for batch in batches:
-        for i, v in zip(batch["id"].to_pylist(), batch["v"].to_pylist(), strict=True):
-            rows = held.setdefault(len(v), [])
+        for i, v, wide in zip(*(batch[c].to_pylist() for c in ("id", "v", "wide")), strict=True):
+            kind = len(v), wide
+            rows = held.setdefault(kind, [])
             rows.append((i, v))
             if len(rows) == BLOCK_ROWS:
-                yield block(held.pop(len(v)))
-    for rows in held.values():
-        yield block(rows)
+                yield block(kind[1], held.pop(kind))
+    for (_, wide), rows in held.items():
+        yield block(wide, rows)
 
 
 def top_k(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "embedding", k: int = K) -> DataFrame:
@@ -128,20 +160,21 @@ def top_k(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "e
     Every usable row but those of the query's own id is a candidate, if it has as many components. Queries are read in
     blocks of ``QUERY_ROWS``; each block is broadcast and meets every index block where the vectors lie, so that vectors
     are never shuffled and only ``k`` rows a query and block are. Of query rows that repeat an id, the least vector
-    counts; repeated candidate rows count each. An empty table gives no rows.
+    counts; repeated candidate rows count each. Vectors of any finite size take part; scores beyond 64 bits are given as
+    the nearest number of 64 bits. An empty table gives no rows.
     """
     spark, vectors = df.sparkSession, usable(df, key, vector)
     queries = usable(df.where(is_query), key, vector).groupBy("id").agg(F.min("v").alias("v"))
     schema = "query_id bigint, vec_id bigint, score bigint"
     parts, block = [], []
 
-    def against(some: list[tuple[int, list[int]]]) -> DataFrame:
+    def against(some: list[tuple[int, list[float]]]) -> DataFrame:
         sent = spark.sparkContext.broadcast(some)
 
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            asked = [(i, np.array(v, np.int64)) for i, v in sent.value]
+            asked = [(i, np.array([int(x) for x in v], np.int64 if max(map(abs, v)) < LARGEST else object)) for i, v in sent.value]
             for index in _blocks(batches):
-                found = [(i, *r) for i, q in asked if len(q) == index.dims for r in index.top(q, i, k)]
+                found = [(i, *r) for i, q in asked if len(q) == index.dims for r in best_rows(index, q, i, k)]
                 columns = list(zip(*found, strict=True)) or [(), (), ()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"]
