@@ -109,3 +109,48 @@ def test_targets_and_features_of_the_refresh_share_one_exchange(spark, stored):
     trends = ST.read_parquet(spark, f"{stored}/trends")
     series = P.add_targets(P.add_time_features(P.clean_trends(trends, collapse=False)))
     assert plan(series).count("Exchange") == 1
+
+
+def test_staged_tables_are_read_by_id_without_exchange(spark, tmp_path):
+    """Windows, targets, catalog join and aggregates by id over staged tables: not one exchange; the same rows as before."""
+    from weekpanel.operators import panel as P
+    from weekpanel.sources import tables as ST
+
+    rows = spark.range(0, 3000, 1, 5).selectExpr(
+        "id % 60 as id", "date_add(date'2023-01-02', cast(7 * (id div 60) as int)) as week_start", "cast(id % 17 as double) as interest"
+    )
+    catalog = spark.range(60).selectExpr("id", "concat('n', id) as name", "'' as genres", "'' as networks", "'' as keywords")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        series = ST.write_by_key(rows, str(tmp_path / "series"), order=["week_start"])
+        cat = ST.write_by_key(P.prepare_catalog(catalog), str(tmp_path / "catalog"), dealt=True)
+
+        def panel(s, c):
+            featured = P.attach_catalog(P.add_targets(P.add_time_features(s)), c)
+            return featured.join(s.groupBy("id").agg(F.count("*").alias("n_weeks")), "id")
+
+        plan = panel(series, cat)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Window" in plan and "SortMergeJoin" in plan
+        assert "Exchange" in panel(rows, catalog)._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(repr, panel(series, cat).collect())) == sorted(map(repr, panel(rows, catalog).collect()))
+        ST.forget_staged(spark)
+        assert not [t for t in spark.catalog.listTables() if t.name.startswith(ST.STAGED)]
+        assert spark.read.parquet(str(tmp_path / "series")).count() == 3000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_bytes_decide_on_a_broadcast_not_rows(spark, monkeypatch):
+    from weekpanel import session
+    from weekpanel.operators import encoding as E
+
+    few_wide = spark.range(20).selectExpr("cast(id as string) as id", "repeat('x', 1000) as genres")
+    many_short = spark.range(500).selectExpr("cast(id as string) as id", "'x' as genres")
+    assert few_wide.agg(session.value_bytes(few_wide)).first()[0] > 20_000 > 500 * 36
+    monkeypatch.setattr(session, "BROADCAST_BYTES", 19_000)
+    hinted = lambda df: "broadcast" in session.broadcast_if_small(df)._jdf.queryExecution().logical().toString().lower()
+    assert not hinted(few_wide) and hinted(many_short)
+    assert session.broadcast_if_small(spark.range(0)).count() == 0
+    codes = spark.sql("select 'status' as column, 'a' as value, 0 as code")
+    assert E.encode_serve(spark.sql("select 1 as id, 'a' as status"), codes, ["status"]).first()["status"] == 0

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from weekpanel.functions.casts import finite, to_number
 from weekpanel.operators.panel import HORIZONS
 from weekpanel.operators.ranking import global_rank
-from weekpanel.session import broadcast_if_small
+from weekpanel.session import broadcast_if_small, value_bytes
 
 # Which columns are categories, and which never are features.
 CATEGORY_COLUMNS = ("status", "type", "language", "certification")
@@ -45,14 +45,15 @@ def category_codes(df: DataFrame, columns: Sequence[str] = CATEGORY_COLUMNS) ->
 
 
 def _encode(df: DataFrame, codes: DataFrame, columns: Sequence[str], missing: dict[str, int]) -> DataFrame:
-    sizes = {r["column"]: r["n"] for r in codes.groupBy("column").agg(F.count("*").alias("n")).collect()}
+    counted = codes.groupBy("column").agg(F.count("*").alias("n"), value_bytes(codes).alias("size")).collect()
+    sizes, n_bytes = {r["column"]: r["n"] for r in counted}, {r["column"]: r["size"] for r in counted}
 
     def one(acc: DataFrame, c: str) -> DataFrame:
         lookup = codes.where(F.col("column") == c).select(
             F.col("value").alias("_value"), F.col("code").alias("_code")
         )
         joined = acc.join(
-            broadcast_if_small(lookup, sizes.get(c, 0)), F.col(c).cast("string") == F.col("_value"), "left"
+            broadcast_if_small(lookup, n_bytes.get(c, 0)), F.col(c).cast("string") == F.col("_value"), "left"
         )
         code = F.coalesce("_code", F.lit(missing.get(c, sizes.get(c, 0))))
         return joined.withColumn(c, code).drop("_value", "_code")

@@ -70,10 +70,10 @@ def impute_group_median(
     weight: str | None = "n_weeks",
 ) -> DataFrame:
     """Fill with the group's median, then what is left with the median of the filled column."""
-    # Used twice, and counted: few groups are broadcast, many are joined with adaptive skew handling.
+    # Used twice, and measured: few short groups are broadcast, others are joined with adaptive skew handling.
     medians = cut_lineage(grouped_percentile(df, [group], column, 0.5, weight, out="_median"))
     filled = (
-        df.join(broadcast_if_small(medians, medians.count()), group, "left")
+        df.join(broadcast_if_small(medians), group, "left")
         .withColumn(column, F.coalesce(F.col(column), F.col("_median")))
         .select(*df.columns)
     )

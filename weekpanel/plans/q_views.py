@@ -16,7 +16,8 @@ from weekpanel.operators.encoding import contract_projection, feature_columns
 from weekpanel.plans import inputs as I
 from weekpanel.plans.registry import query
 from weekpanel.plans.sql import with_ctes
-from weekpanel.session import cut_lineage
+from weekpanel.session import cut_lineage, scratch_path
+from weekpanel.sources import tables as ST
 
 _MOVER = """id, name, last_interest, round("predicted_t+1", 6) as "predicted_t+1", popularity, vote_average,
 round("delta_t+1", 6) as "delta_t+1\""""
@@ -131,6 +132,30 @@ def movers_display(spark, sf):
     return DS.formatted(MV.gainers(I.movers(spark, sf), n=15), DS.MOVERS)
 
 
+@query(
+    "export_results",
+    with_ctes(
+        "strong history",
+        """, shown as (select * from strong order by "delta_t+1" desc, id limit 15)
+select 'movers' as export, concat_ws('|', name, printf('%.1f', last_interest), printf('%.1f', "predicted_t+1"), printf('%+.1f', "delta_t+1")) as line
+from shown
+union all
+select 'run metrics', concat_ws('|', run_id, family, cast(horizon as varchar), cast(n_train as varchar), cast(n_val as varchar)) from history""",
+    ),
+)
+def export_results(spark, sf):
+    """The exports of the result views: the movers as they are shown, and the run metrics; one CSV file each, read back."""
+    root = scratch_path(spark, "export")
+    metrics = I.history(spark, sf).select("run_id", "family", "horizon", "n_train", "n_val")
+    out = []
+    for name, table in (("movers", DS.formatted(MV.gainers(I.movers(spark, sf), n=15), DS.MOVERS)), ("run metrics", metrics)):
+        path = f"{root}/{name.replace(' ', '_')}"
+        ST.write_csv(table, path, single_file=True)
+        read = ST.read_csv(spark, path, ", ".join(f"`{c}` string" for c in table.columns))
+        out.append(read.select(F.lit(name).alias("export"), F.concat_ws("|", *[F.col(f"`{c}`") for c in read.columns]).alias("line")))
+    return out[0].unionByName(out[1])
+
+
 @query(
     "movers_direction",
     with_ctes(

@@ -27,7 +27,7 @@ from weekpanel.operators.panel import (
 from weekpanel.operators.split import snapshot, time_split
 from weekpanel.session import cut_lineage
 from weekpanel.sources import publish as PB
-from weekpanel.sources.tables import read_parquet, write_parquet, write_vocabulary
+from weekpanel.sources.tables import read_parquet, write_by_key, write_parquet, write_vocabulary
 
 
 def clean_entities(
@@ -110,18 +110,16 @@ def refresh(
     """
     # A folder of its own for each attempt: what is published from it is never written over.
     stage = f"{root}/stages/run_id={run['run_id']}/week_start={run['week_start']}/{uuid.uuid4().hex}"
-    write_parquet(prepare_catalog(catalog, catalog_order), f"{stage}/catalog")
-    catalog = read_parquet(spark, f"{stage}/catalog")
+    # Everything that meets by id is staged in buckets by id, so that no later step moves it again.
+    catalog = write_by_key(prepare_catalog(catalog, catalog_order), f"{stage}/catalog", dealt=True)
     bounds = {"min_week": min_week, "max_week": max_week, "collapse": collapse}
     # The series with features and targets stays narrow; only the published tables carry metadata.
     series = add_targets(add_time_features(clean_trends(trends, **bounds)), horizons)
-    write_parquet(series, f"{stage}/series")
-    series = read_parquet(spark, f"{stage}/series")
+    series = write_by_key(series, f"{stage}/series", order=["week_start"], dealt=True)
     targets = [f"interest_t+{h}" for h in horizons]
     panel = clean_nonfinite(attach_catalog(series.drop(*targets), catalog))
     entities, kept, fitted = clean_entities(series, catalog, vocabulary=vocabulary, **(sizes or {}))
-    write_parquet(entities, f"{stage}/entities")
-    entities = read_parquet(spark, f"{stage}/entities")
+    entities = write_by_key(entities, f"{stage}/entities")
     write_parquet(clean_nonfinite(clean_panel(series, entities)), f"{stage}/panel_clean")
     write_vocabulary(fitted.frame(spark), f"{stage}/tfidf_vocab")
     staged = read_parquet(spark, f"{stage}/panel_clean")

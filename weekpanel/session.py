@@ -8,11 +8,12 @@ import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A dictionary of this many short rows is a few MB per executor.
-BROADCAST_ROWS = 100_000
+# Tables whose values take no more bytes are broadcast: a few MB per executor, whatever their rows look like.
+BROADCAST_BYTES = 8 << 20
+ROW_BYTES = 32
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -64,6 +65,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, n_rows: int) -> DataFrame:
-    """Hint a broadcast only when the counted size allows it; otherwise leave the join to AQE."""
-    return F.broadcast(df) if n_rows <= BROADCAST_ROWS else df
+def value_bytes(df: DataFrame) -> Column:
+    """Bytes that the values of all rows take, as an aggregate: text as it is long, and a constant for each row."""
+    texts = [F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0)) for f in df.schema.fields]
+    return F.coalesce(F.sum(sum(texts, F.lit(ROW_BYTES)).cast("bigint")), F.lit(0))
+
+
+def broadcast_if_small(df: DataFrame, n_bytes: int | None = None) -> DataFrame:
+    """Hint a broadcast only when the measured bytes allow it; otherwise leave the join to AQE."""
+    size = df.agg(value_bytes(df)).first()[0] if n_bytes is None else n_bytes
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,32 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+#: Names of the tables that only this session's catalog knows; their files lie where the caller says.
+STAGED = "weekpanel_staged_"
+
+
+def write_by_key(df: DataFrame, path: str, key: str = "id", order: Sequence[str] = (), *, dealt: bool = False) -> DataFrame:
+    """Write ``df`` in buckets by ``key``, and the table that reads it.
+
+    Windows, aggregates and joins by the key then read it without an exchange, as often as they like. There are as many
+    buckets as shuffle partitions. ``dealt`` rows come from a window or join by the key and are not moved once more.
+    """
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = df if dealt else df.repartition(n, key)
+    name = f"{STAGED}{uuid.uuid4().hex}"
+    writer = rows.write.mode("overwrite").format("parquet").bucketBy(n, key).option("path", path)
+    writer.sortBy(key, *order).saveAsTable(name)
+    return spark.table(name)
+
+
+def forget_staged(spark: SparkSession) -> None:
+    """Take staged tables out of the catalog; their files stay."""
+    for t in spark.catalog.listTables():
+        if t.name.startswith(STAGED):
+            spark.sql(f"drop table if exists `{t.name}`")
+
+
 def write_run(df: DataFrame, path: str, run: Mapping[str, str]) -> None:
     """Write one run of a run-versioned table laid out as ``run_id=.../week_start=...``; a retry replaces it."""
     keys = ("run_id", "week_start")
