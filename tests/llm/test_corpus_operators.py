@@ -124,6 +124,38 @@ def test_tree_matching_by_brute_force():
             assert html_extract._score(a, b, {}) == best(a, b)
 
 
+@pytest.mark.parametrize("held", [1 << 28, 4000, 1])
+def test_alignments_by_lists_and_by_arrays_agree(monkeypatch, held):
+    monkeypatch.setattr(html_extract, "HELD", held)
+    rng = np.random.default_rng(9)
+
+    def part(depth):
+        tag = rng.choice(["div", "div class=a", "p"])
+        if depth and rng.random() < 0.7:
+            return f"<div>{''.join(part(depth - 1) for _ in range(rng.integers(1, 6)))}</div>"
+        return f"<{tag}>{rng.choice(['', 'x', 'y', 'z'])}</{tag.split()[0]}>"
+
+    aligned = 0
+    for _ in range(200):
+        html, pivot = ("".join(part(3) for _ in range(rng.integers(1, 6))) for _ in range(2))
+        wrapper, page, copy = html_extract.Wrapper(pivot), html_extract.Tree(html).root, html_extract.Tree(pivot).root
+        slots = wrapper._by_lists(page)
+        assert wrapper._by_arrays(page) == slots
+        assert wrapper._by_arrays(copy) == wrapper._by_lists(copy) == wrapper.slots(pivot, copy)
+        aligned += len(slots)
+    assert aligned > 500
+
+
+@pytest.mark.parametrize("blocks", [5, 700, 3000])
+def test_long_child_lists_are_aligned_as_short_ones(spark, blocks):
+    def page(i):
+        return f"<p>Welcome</p><p class=legal>Case {i}</p>{''.join(f'<p>Block {k} of {i}</p>' for k in range(blocks))}<p>Call us</p>"
+
+    pages = spark.createDataFrame([(i, "http://long.example/", page(i)) for i in range(6)], "page_id int, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(pages).collect()}
+    assert got == {i: "\n\n".join([f"Case {i}", *[f"Block {k} of {i}" for k in range(blocks)]]) for i in range(6)}
+
+
 def test_a_lone_page_of_very_many_nested_elements(spark):
     deep = "<div>" * 4000 + "<p>core" + "</div><p>x" * 10
     got = html_extract.extract(spark.createDataFrame([("http://deep.example/", deep)], "url string, html string")).collect()

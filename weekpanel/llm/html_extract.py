@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from html import unescape
 from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -63,8 +64,11 @@ _WORDS = re.compile(r"[a-z]+")
 #: an article element, where equal texts are likelier to be copies.
 SHARE, PAGES = 0.6, 3
 SHARE_INSIDE, PAGES_INSIDE = 0.9, 5
-#: Alignments of longer child lists go by order and equal text, without the table of the dynamic programme.
-CELLS = 400_000
+#: Pages with more pairs of nodes of one depth are aligned in arrays, a row of all tables of a depth at once. The
+#: pairs found are the same.
+PAIRS = 10_000
+#: Choices of so many cells, of two bits each, are held at a time; earlier ones are computed again from a kept row.
+HELD = 1 << 28
 
 
 class Node:
@@ -226,15 +230,74 @@ def leaves(node: Node) -> Iterator[Node]:
         stack.extend(reversed(n.children))
 
 
+def _generations(root: Node) -> list[list[Node]]:
+    """The nodes below a root by depth, in page order."""
+    found, nodes = [], root.children
+    while nodes:
+        found.append(nodes)
+        nodes = [c for n in nodes for c in n.children]
+    return found
+
+
+class Level:
+    """One depth of a pivot tree as arrays; the children of one parent are a segment.
+
+    Scores of a segment are raised by its base, more than any score (``far``) above the segment before, so that a
+    running maximum over the whole array never passes from one segment to the next.
+    """
+
+    def __init__(self, parents: list[Node], far: int):
+        self.nodes = [c for p in parents for c in p.children]
+        sizes = np.array([len(p.children) for p in parents])
+        self.ends = sizes.cumsum() - 1
+        self.starts = self.ends - sizes + 1
+        bases = np.arange(len(parents)) * far
+        self.base = np.repeat(bases.astype(np.int32 if bases[-1] + far < 1 << 31 else np.int64), sizes)
+        self.codes: dict[str, int] = {}
+        self.code = np.array([self.codes.setdefault(n.label, len(self.codes)) for n in self.nodes], np.int32)
+        self.inner = np.flatnonzero([bool(n.children) for n in self.nodes])
+        places: dict[tuple[str, int], list[int]] = {}
+        for j, n in enumerate(self.nodes):
+            if not n.children:
+                places.setdefault((n.label, n.digest), []).append(j)
+        #: Places of nodes without children by label and text.
+        self.same = {key: np.array(js) for key, js in places.items()}
+
+    def before(self, row: np.ndarray) -> np.ndarray:
+        """The value left of each place, in its segment."""
+        out = np.empty_like(row)
+        out[1:] = row[:-1]
+        out[self.starts] = self.base[self.starts]
+        return out
+
+
 class Wrapper:
     """The tree of a host's pivot page, against which its other pages are aligned."""
 
     def __init__(self, html: str):
+        self.html = html
         self.tree = Tree(html).root
         self.slot = {id(n): i for i, n in enumerate(leaves(self.tree))}
+        self.widths = [len(nodes) for nodes in _generations(self.tree)]
+
+    @cached_property
+    def levels(self) -> list[Level]:
+        parents = [[self.tree], *([n for n in nodes if n.children] for nodes in _generations(self.tree))]
+        # A node counts twice at most.
+        return [Level(some, 2 * sum(self.widths) + 2) for some in parents if some and some[0].children]
+
+    def slots(self, html: str, page: Node) -> dict[int, int]:
+        """``align`` for the tree of a page; a copy of the pivot has its slots."""
+        if html == self.html:
+            return {id(n): i for i, n in enumerate(leaves(page))}
+        return self.align(page)
 
     def align(self, page: Node) -> dict[int, int]:
         """Slot of every aligned text leaf of a page (by the leaf's ``id``): simple tree matching, top down."""
+        pairs = sum(len(nodes) * width for nodes, width in zip(_generations(page), self.widths, strict=False))
+        return self._by_arrays(page) if pairs > PAIRS else self._by_lists(page)
+
+    def _by_lists(self, page: Node) -> dict[int, int]:
         out: dict[int, int] = {}
         pending = [(page, self.tree)]
         memo: dict[tuple[int, int], int] = {}
@@ -247,6 +310,93 @@ class Wrapper:
                     pending.append((x, y))
         return out
 
+    def _by_arrays(self, page: Node) -> dict[int, int]:
+        """Rows of the tables go from the first child to the last, choices are followed from the last to the first.
+
+        A row is that of one page node beside all pivot nodes of its depth. Nodes come after their children, so that
+        one row for each depth is all that the next node needs.
+        """
+        levels, order = self.levels, self._order(page)
+        step = max(1, HELD // (max(self.widths, default=0) + 1000))
+        rows, kept = [level.base for level in levels], []
+        for at, (node, _, depth) in enumerate(order[: (len(order) - 1) // step * step]):
+            if at % step == 0:
+                kept.append(rows.copy())
+            self._advance(rows, node, depth)
+        kept.append(rows)
+        out: dict[int, int] = {}
+        #: By depth: the matched page node whose children are being followed, and what is left of its partner's children.
+        open_: list[tuple[Node | None, int, int]] = [(None, 0, -1)] * len(levels)
+        if levels:
+            open_[0] = (page, 0, len(levels[0].nodes) - 1)
+        while kept:
+            rows, some = kept.pop(), order[len(kept) * step : (len(kept) + 1) * step]
+            choices = []
+            for node, _, depth in some:
+                last = rows[depth]
+                row = self._advance(rows, node, depth)
+                choices.append((np.packbits(row == last).tobytes(), np.packbits(row == levels[depth].before(row)).tobytes()))
+            for (node, parent, depth), (up, left) in zip(reversed(some), reversed(choices), strict=True):
+                whose, first, j = open_[depth]
+                if whose is not parent:
+                    continue
+                while j >= first and not _bit(up, j) and _bit(left, j):
+                    j -= 1
+                if j >= first and not _bit(up, j):
+                    other = levels[depth].nodes[j]
+                    if node.text is not None and other.text is not None:
+                        out[id(node)] = self.slot[id(other)]
+                    elif node.children and other.children:
+                        below, segment = levels[depth + 1], np.searchsorted(levels[depth].inner, j)
+                        open_[depth + 1] = (node, int(below.starts[segment]), int(below.ends[segment]))
+                    j -= 1
+                open_[depth] = (whose, first, j)
+        return out
+
+    def _order(self, page: Node) -> list[tuple[Node, Node, int]]:
+        """Page nodes with parent and depth, children before parents; without those of a label the pivot has not there."""
+        found, stack = [], [(c, page, 0) for c in page.children]
+        while stack:
+            node, _, depth = entry = stack.pop()
+            if depth < len(self.levels) and node.label in self.levels[depth].codes:
+                found.append(entry)
+                stack.extend((c, node, depth + 1) for c in node.children)
+        return found[::-1]
+
+    def _advance(self, rows: list[np.ndarray], node: Node, depth: int) -> np.ndarray:
+        """Put the row of a page node in the place of the row of its sibling before it."""
+        level = self.levels[depth]
+        alike = level.code == level.codes[node.label]
+        both = level.before(rows[depth])
+        both += alike
+        if (node.label, node.digest) in level.same:
+            both[level.same[node.label, node.digest]] += 1
+        if len(level.inner):
+            more: np.ndarray | bool = node.digest == 0
+            if node.children:
+                below = self.levels[depth + 1]
+                more = rows[depth + 1][below.ends] - below.base[below.ends]
+                rows[depth + 1] = below.base
+            both[level.inner] += alike[level.inner] * more
+        np.maximum(both, rows[depth], out=both)
+        rows[depth] = _running_maximum(both)
+        return both
+
+
+def _running_maximum(row: np.ndarray) -> np.ndarray:
+    """In place; a row that drops at few places only is filled behind each."""
+    drops = np.flatnonzero(row[1:] < row[:-1])
+    if len(drops) > 8:
+        return np.maximum.accumulate(row, out=row)
+    for at, end in zip(drops, [*drops[1:], len(row) - 1], strict=False):
+        rising = row[at + 1 : end + 1]
+        rising[: np.searchsorted(rising, row[at])] = row[at]
+    return row
+
+
+def _bit(packed: bytes, j: int) -> int:
+    return packed[j >> 3] >> (7 - (j & 7)) & 1
+
 
 def _score(a: Node, b: Node, memo: dict) -> int:
     """Size of the largest matching of two trees that keeps order and ancestors; equal texts count twice.
@@ -264,8 +414,6 @@ def _score(a: Node, b: Node, memo: dict) -> int:
         key = (id(x), id(y))
         if key in memo:
             stack.pop()
-        elif len(x.children) * len(y.children) > CELLS:
-            memo[key] = 1 + len(_in_order(x.children, y.children))
         else:
             others = [d for d in y.children if d.children]
             below = [
@@ -299,8 +447,6 @@ def _table(xs: list[Node], ys: list[Node], memo: dict) -> list[list[int]]:
 def _matched(xs: list[Node], ys: list[Node], memo: dict) -> list[tuple[Node, Node]]:
     if not xs or not ys:
         return []
-    if len(xs) * len(ys) > CELLS:
-        return _in_order(xs, ys)
     rows, i, j, pairs = _table(xs, ys, memo), len(xs), len(ys), []
     while i and j:
         if rows[i][j] == rows[i - 1][j]:
@@ -313,20 +459,6 @@ def _matched(xs: list[Node], ys: list[Node], memo: dict) -> list[tuple[Node, Nod
     return pairs
 
 
-def _in_order(xs: list[Node], ys: list[Node]) -> list[tuple[Node, Node]]:
-    """Next node of equal label and text, from left to right."""
-    places: dict[tuple, list[int]] = {}
-    for j, y in enumerate(ys):
-        places.setdefault((y.label, y.digest), []).append(j)
-    pairs, after = [], -1
-    for x in xs:
-        j = next((p for p in places.get((x.label, x.digest), ()) if p > after), None)
-        if j is not None:
-            pairs.append((x, ys[j]))
-            after = j
-    return pairs
-
-
 @lru_cache(maxsize=256)
 def _wrapper(html: str) -> Wrapper:
     return Wrapper(html)
@@ -343,7 +475,7 @@ def constants(html: str | None, pivot: str | None) -> list[int]:
     if not html or not pivot:
         return []
     tree = Tree(html)
-    slots = _wrapper(pivot).align(tree.root)
+    slots = _wrapper(pivot).slots(html, tree.root)
     return [_key(slots[id(n)], n) for n in leaves(tree.root) if id(n) in slots]
 
 
@@ -390,7 +522,7 @@ def main_text(html: str | None, pivot: str | None, template: frozenset[int]) ->
     tree = Tree(html)
     kept, slots = list(leaves(tree.root)), {}
     if template and pivot:
-        slots = _wrapper(pivot).align(tree.root)
+        slots = _wrapper(pivot).slots(html, tree.root)
         kept = [n for n in kept if id(n) not in slots or _key(slots[id(n)], n) not in template]
     weights = {id(n): len(n.text) for n in kept}
     beside = _doubtful(tree.root, weights) - slots.keys()
@@ -458,9 +590,10 @@ def templates(pages: DataFrame, pivot: DataFrame) -> DataFrame:
 def extract(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """Add ``text`` and ``n_chars`` (code points) to every page; columns of these names are replaced.
 
-    Null and empty pages have the empty text. Pages without host are one host. Menus, page headers, footers and the
-    like go by element, role and hidden attributes, then the constant texts of the host's wrapper; see ``main_text``
-    for what class and id words and ``article`` or ``main`` elements do after that. Pages are never
+    Null and empty pages have the empty text. Pages without host are one host. Pages of any length are aligned by the
+    same rule, in time that grows with the product of a page's and its pivot's nodes of one depth. Menus, page headers,
+    footers and the like go by element, role and hidden attributes, then the constant texts of the host's wrapper; see
+    ``main_text`` for what class and id words and ``article`` or ``main`` elements do after that. Pages are never
     shuffled while one pivot page and the template of each host fit ``BROADCAST_BYTES``.
     """
     hosted = pages.select(host_of(F.col(url)).alias("host"), F.col(html).cast("string").alias("html"))
