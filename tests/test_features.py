@@ -140,6 +140,53 @@ def test_tfidf_without_words(spark):
     assert fitted.names == () and T.scores_long(scored, fitted).count() == 0
 
 
+def _vectors(spark):
+    """Sparse, dense and empty vectors, with zeros and odd numbers stored, a null id and an id that comes twice."""
+    from pyspark.ml.linalg import Vectors, VectorUDT
+    from pyspark.sql import types as ST
+
+    nan = float("nan")
+    rows = [
+        (1, Vectors.sparse(3, [0, 2], [0.25, 0.75])),
+        (1, Vectors.sparse(3, [0, 2], [0.25, 0.75])),
+        (2, Vectors.dense([0.0, 1.0, 0.0])),
+        (3, Vectors.sparse(3, [], [])),
+        (4, Vectors.sparse(3, [0, 1, 2], [0.0, -1.0, 0.5])),
+        (5, Vectors.dense([nan, -1.0, 1.0])),
+        (None, Vectors.sparse(3, [1], [1.0])),
+    ]
+    schema = ST.StructType([ST.StructField("id", ST.LongType()), ST.StructField(T.SCORES, VectorUDT())])
+    fitted = T.Terms(("a", "b", "c"), (1, 1, 1), (1, 1, 1), (1.0, 1.0, 1.0))
+    return spark.createDataFrame(rows, schema), fitted
+
+
+def test_present_terms_of_odd_vectors(spark):
+    df, fitted = _vectors(spark)
+    spread = vector_to_array(T.SCORES)
+    wanted = F.filter(F.array(*[F.when(spread[i] > 0, t) for i, t in enumerate(fitted.names)]), lambda t: t.isNotNull())
+    rows = df.select("id", T.present_terms(fitted).alias("got"), wanted.alias("wanted")).collect()
+    assert all(r["got"] == r["wanted"] for r in rows) and len(rows) == 7
+    assert [r["got"] for r in rows if r["id"] == 1] == [["a", "c"]] * 2
+    nothing = T.Terms((), (), (), ())
+    unscored = T.score(spark.createDataFrame([(1, "")], "id int, text string"), "text", nothing)
+    assert unscored.select(T.present_terms(nothing)).first()[0] == []
+
+
+def test_clean_columns_do_not_spread_vectors_over_the_vocabulary(spark):
+    from weekpanel.plans import q_features as Q
+
+    df, fitted = _vectors(spark)
+    clean = df.selectExpr(
+        "*", "date'2024-01-01' as week_start", "1D as interest", "1D as roll_std_4w", "'C' as certification",
+        "2D as episode_run_time_mean", "1 as freshness_days", "array('g', 'h') as genres_kept",
+        "array() as networks_kept",
+    )
+    out = Q._clean_columns(clean, fitted)
+    assert "UDF" not in out._jdf.queryExecution().executedPlan().toString()
+    rows = [(r["genres_kept"], r["networks_kept"], r["terms"]) for r in out.where("id = 4").collect()]
+    assert rows == [("g,h", "", "c")]
+
+
 def test_codes_for_training_and_serving(spark):
     train = spark.createDataFrame([(1, "b"), (2, "a"), (3, None), (4, "c")], "id int, status string")
     codes = E.category_codes(train)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from weekpanel.functions.text import tokens
@@ -380,10 +379,6 @@ def refresh_clean(spark, sf):
 
 
 def _clean_columns(clean, fitted):
-    names = F.array(*[F.lit(t) for t in fitted.names])
-    pairs = F.arrays_zip(names.alias("term"), vector_to_array(T.SCORES).alias("score"))
-    present = F.filter(pairs, lambda p: p["score"] > 0)
-    terms = F.array_join(F.transform(present, lambda p: p["term"]), ",")
     return clean.select(
         "id",
         "week_start",
@@ -394,5 +389,5 @@ def _clean_columns(clean, fitted):
         "freshness_days",
         F.array_join(GENRES, ",").alias(GENRES),
         F.array_join(NETWORKS, ",").alias(NETWORKS),
-        terms.alias("terms"),
+        F.array_join(T.present_terms(fitted), ",").alias("terms"),
     )
