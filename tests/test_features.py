@@ -181,12 +181,51 @@ def test_clean_columns_do_not_spread_vectors_over_the_vocabulary(spark):
         "2D as episode_run_time_mean", "1 as freshness_days", "array('g', 'h') as genres_kept",
         "array() as networks_kept",
     )
-    out = Q._clean_columns(clean, fitted)
+    out = Q._clean_columns(Q._listed(clean, fitted))
     assert "UDF" not in out._jdf.queryExecution().executedPlan().toString()
     rows = [(r["genres_kept"], r["networks_kept"], r["terms"]) for r in out.where("id = 4").collect()]
     assert rows == [("g,h", "", "c")]
 
 
+def test_lists_become_text_below_the_join(spark, sf_dir):
+    from weekpanel.plans import q_features as Q
+
+    text = Q.panel_clean_narrow(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert text.index("Join") < text.index("unwrap_udt") and text.count("unwrap_udt") == text[text.index("Join") :].count("unwrap_udt")
+
+
+def test_lists_of_entities_equal_lists_of_their_rows(spark):
+    """Also for a null id, an id that comes twice, empty and missing lists, and an entity without rows."""
+    from weekpanel.operators import panel as P
+    from weekpanel.plans import q_features as Q
+    from weekpanel.plans.refresh import clean_entities, clean_panel
+
+    catalog = spark.sql(
+        """select * from values
+        (1L, date'2024-01-09', 'C1', 30D, 'Drama, Crime,, Drama', 'N1', 'dark dark moon'),
+        (1L, date'2024-01-09', 'C1', 30D, 'Drama, Crime,, Drama', 'N1', 'dark dark moon'),
+        (2L, null, null, null, null, '', null),
+        (3L, date'2024-01-01', 'C2', null, 'Drama', 'N1,N2', ''),
+        (4L, date'2024-01-01', 'C2', 45D, 'Crime', 'N2', 'sun'),
+        (null, date'2024-01-01', 'C2', 45D, 'Crime', 'N2', 'moon')
+        as t(id, last_air_date, certification, episode_run_time_mean, genres, networks, keywords)"""
+    )
+    weeks = spark.sql(
+        """select id, date_add(date'2024-01-01', 7 * w) as week_start, interest from values
+        (1L, 0, 5D), (1L, 1, null), (1L, 2, 7D), (2L, 0, 1D), (3L, 0, 2D), (3L, 1, double('nan')), (9L, 0, 1D), (null, 0, 3D)
+        as t(id, w, interest)"""
+    )
+    series = P.add_time_features(P.clean_trends(weeks, collapse=False))
+    entities, _, fitted = clean_entities(series, catalog, n_genres=5, n_networks=5, n_terms=5)
+    below = Q._clean_columns(clean_panel(series, Q._listed(entities, fitted)))
+    above = Q._clean_columns(Q._listed(clean_panel(series, entities), fitted))
+    rows = sorted(map(repr, below.collect()))
+    assert rows == sorted(map(repr, above.collect())) and below.schema == above.schema
+    texts = {(r["id"], r["genres_kept"], r["networks_kept"], r["terms"]) for r in below.collect()}
+    assert len(rows) == 6
+    assert texts == {(1, "Crime,Drama", "N1", "dark,moon"), (2, "", "", ""), (3, "Drama", "N1,N2", "")}
+
+
 def test_codes_for_training_and_serving(spark):
     train = spark.createDataFrame([(1, "b"), (2, "a"), (3, None), (4, "c")], "id int, status string")
     codes = E.category_codes(train)
