@@ -172,6 +172,24 @@ def test_present_terms_of_odd_vectors(spark):
     assert unscored.select(T.present_terms(nothing)).first()[0] == []
 
 
+def test_keyword_insights_work_on_the_series_once(spark, sf_dir):
+    from weekpanel.plans import inputs as I
+
+    words = spark.sql("select * from values (1L, 'a'), (2L, 'a'), (2L, 'b'), (null, 'b') as t(id, term)")
+    found = K.keyword_insights(K.entity_sums(I.trends(spark, sf_dir)), words)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in text and "lineitem" not in text
+
+
+def test_keyword_insights_of_rows_without_id_and_repeated_words(spark):
+    rows = spark.sql("select * from values (1, 2D), (1, null), (2, 4D), (null, 6D), (null, null) as t(id, interest)")
+    words = spark.sql("select * from values (1, 'a'), (1, 'a'), (null, 'a'), (7, 'b') as t(id, term)")
+    got = [tuple(r) for r in K.keyword_insights(K.entity_sums(rows), words).collect()]
+    # The rows without id count in the totals only; a word that comes twice counts its entity's rows twice.
+    assert got == [("kw__a", 80.0, 2.0, 8.0, -6.0, -2.0, "A")]
+    assert K.keyword_insights(K.entity_sums(rows.limit(0)), words).count() == 0
+
+
 def test_clean_columns_do_not_spread_vectors_over_the_vocabulary(spark):
     from weekpanel.plans import q_features as Q
 
