@@ -141,6 +141,59 @@ def test_staged_tables_are_read_by_id_without_exchange(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def _raw_rows(spark):
+    """Dated amounts with a null id, a null date, null amounts, rows that come twice and two rows of one week."""
+    return spark.sql(
+        """select * from values
+        (1L, date'2024-01-01', 5D), (1L, date'2024-01-03', 2D), (1L, date'2024-01-09', null), (1L, date'2024-01-16', 4D),
+        (1L, date'2024-01-16', 4D), (2L, date'2024-01-01', 0D), (2L, date'2024-01-08', 0D), (3L, date'2024-01-01', double('nan')),
+        (null, date'2024-01-01', 3D), (4L, null, 1D), (4L, date'2024-01-01', -1D) as t(key, day, amount)"""
+    )
+
+
+def test_refresh_averages_a_sorted_series_in_its_order(spark, tmp_path, monkeypatch):
+    from weekpanel.plans import refresh as RF
+
+    plans = {}
+
+    def seen(df, path, *args, **kwargs):
+        plans[path.rsplit("/", 1)[-1]] = plan(df)
+        return ST.write_by_key(df, path, *args, **kwargs)
+
+    monkeypatch.setattr(RF, "write_by_key", seen)
+    catalog = spark.sql(
+        """select id, 'Drama' as genres, 'N' as networks, 'dark moon' as keywords, date'2024-01-01' as last_air_date,
+        'C' as certification, 30D as episode_run_time_mean from values (1L), (2L), (2L), (null) as t(id)"""
+    )
+    setting = next(iter(RF.SORTED_AGGREGATES))
+    before = spark.conf.get(setting)
+    run = {"run_id": "r", "run_date": "2024-02-01", "week_start": "2024-01-29"}
+    weekly = P.weekly_series(_raw_rows(spark), "key", "day", "amount")
+    out = RF.refresh(spark, weekly, catalog, str(tmp_path / "root"), run, retrain=False)
+    assert spark.conf.get(setting) == before
+    # One sort by id and week serves peak, mean of a week, features and targets; no hash table holds the weeks.
+    assert len(re.findall(r"\bSort \[", plans["series"])) == 1 and "SortAggregate" in plans["series"]
+    rows = sorted((r["id"], str(r["week_start"]), r["interest"]) for r in out["panel_clean"].collect())
+    assert [r[:2] for r in rows] == [(1, "2024-01-01"), (1, "2024-01-08"), (1, "2024-01-15"), (2, "2024-01-01"), (2, "2024-01-08")]
+    assert [r[2] for r in rows] == [87.0, None, 100.0, 0.0, 0.0]
+
+
+def test_sorted_and_hashed_averages_are_the_same(spark):
+    from weekpanel.plans.refresh import SORTED_AGGREGATES
+    from weekpanel.session import configured
+
+    def rows(source):
+        return sorted(map(repr, P.add_targets(P.add_time_features(P.clean_trends(source))).collect()))
+
+    raw = _raw_rows(spark)
+    unsorted = raw.selectExpr("cast(key as string) as id", "day as week_start", "amount as interest")
+    in_order = unsorted.repartition(2, "id").sortWithinPartitions("id", "week_start")
+    for source in (P.weekly_series(raw, "key", "day", "amount"), unsorted, in_order, unsorted.limit(0)):
+        hashed = rows(source)
+        with configured(spark, SORTED_AGGREGATES):
+            assert rows(source) == hashed
+
+
 def test_bytes_decide_on_a_broadcast_not_rows(spark, monkeypatch):
     from weekpanel import session
     from weekpanel.operators import encoding as E
